@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # A policy with more than one part in SPLIT_PARTS of all claims is spread over
 # several tasks, unless it has no more than SPLIT_FLOOR claims.
 SPLIT_PARTS = 10_000
-SPLIT_FLOOR = 1_000_000
+SPLIT_FLOOR = 100_000
 
 
 def policy_metrics(df: DataFrame) -> DataFrame:

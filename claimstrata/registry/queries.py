@@ -43,9 +43,15 @@ def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], ob
     return _stored[key]
 
 
+def _use_all_cores(df: DataFrame) -> DataFrame:
+    """A table stored in very few pieces, dealt out to more tasks; others as they are."""
+    tasks = min(df.sparkSession.sparkContext.defaultParallelism, 64)
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
+
+
 def wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(path: str) -> None:
-        docs = wire_documents(_table(spark, sf_dir, "lineitem"))
+        docs = wire_documents(_use_all_cores(_table(spark, sf_dir, "lineitem")))
         docs.write.option("maxRecordsPerFile", 1_000_000).json(path)
 
     return read_documents(spark, _once(spark, sf_dir, "wire", write))

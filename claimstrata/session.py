@@ -29,6 +29,7 @@ def local_session(cores: int | str = "*", name: str = "claimstrata") -> SparkSes
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
