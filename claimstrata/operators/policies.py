@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,38 +40,34 @@ def attach_policy_metrics(
     comes first in the result, as after any join on a column name.
 
     Balance: the metrics know the size of each policy. A policy above the
-    limit is cut into slices of about the limit, its rows dealt out over the
-    slices and its metrics repeated per slice. Only the names of such
-    policies are broadcast; each holds over 1/``parts`` of all claims, so
+    limit is cut into slices of at most the limit, its rows dealt out over
+    the slices and its metrics repeated per slice. Only the names of such
+    policies are broadcast. Each holds over 1/``parts`` of all claims, so
     there are fewer than ``parts`` of them whatever the size of the data, and
-    the repeats add at most twice ``parts`` rows. Rows without a policy match
-    nothing and are dealt out one by one.
+    the repeats add fewer than twice ``parts`` rows. Rows without a policy
+    match nothing and are dealt out one by one.
 
     Hand in ``metrics`` read from a stored table and ``df`` from a stored
-    layer: the first is used three times and its file size tells Spark
-    whether it can be broadcast whole, the second keeps the dealing the same
-    when a lost task runs again.
+    layer. The metrics are read at once for their total and their largest
+    policy, two numbers, and again by the join, where their file size tells
+    Spark whether to broadcast them whole. A stored ``df`` keeps the dealing
+    the same when a lost task runs again.
     """
-    limit = F.greatest(
-        metrics.agg(F.sum("total_claims") / F.lit(parts)).scalar(), F.lit(floor)
-    )
-    sized = metrics.where(F.col("policy_id").isNotNull()).withColumn(
-        "_slices", F.ceil(F.col("total_claims") / limit)
-    )
-    large = sized.where(F.col("_slices") > 1).select("policy_id", "_slices")
+    known = F.col("policy_id").isNotNull()
+    size = F.col("total_claims")
+    total, largest = metrics.agg(F.sum(size), F.max(F.when(known, size))).first()
+    limit = max(math.ceil((total or 0) / parts), floor)
+    slices = F.ceil(size / limit)
 
     turn = F.monotonically_increasing_id()
-    dealt = (
-        df.join(F.broadcast(large), "policy_id", "left")
-        .withColumn(
-            "_slice",
-            F.when(F.col("policy_id").isNull(), turn)
-            .when(F.col("_slices").isNotNull(), F.pmod(turn, "_slices"))
-            .otherwise(F.lit(0)),
-        )
-        .drop("_slices")
+    own_slice = F.lit(0)
+    if (largest or 0) > limit:
+        large = metrics.where(known & (size > limit)).select("policy_id", slices.alias("_slices"))
+        df = df.join(F.broadcast(large), "policy_id", "left")
+        own_slice = F.when(F.col("_slices").isNull(), 0).otherwise(F.pmod(turn, "_slices"))
+    dealt = df.withColumn("_slice", F.when(known, own_slice).otherwise(turn)).drop("_slices")
+
+    sliced = metrics.where(known).withColumn(
+        "_slice", F.explode(F.sequence(F.lit(0), slices - 1))
     )
-    sliced = sized.withColumn(
-        "_slice", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1))
-    ).drop("_slices")
     return dealt.join(sliced, ["policy_id", "_slice"], "left").drop("_slice")
