@@ -50,7 +50,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     spark.conf.set("spark.sql.shuffle.partitions", CPUS)
     start = time.perf_counter()
-    registry.bronze_layer(spark, SF_DIR)
+    registry.documents_layer(spark, SF_DIR)
     prepared = time.perf_counter() - start
     times = {}
     for name in sys.argv[1:] or HEADLINE:

@@ -1,9 +1,9 @@
 """One query per operator of the library, over whole tables.
 
-The wire documents, the documents layer and the bronze layer are derived from
-``lineitem`` once per application and folder, and stored in the shared folder.
-Ingest queries read the JSON; the others read the layer they build on, as in a
-run of ``plans.publish``.
+The wire documents and the documents layer are derived from ``lineitem`` once
+per application and folder, and stored in the shared folder. Ingest queries
+read the JSON and the others the documents, as in a run of ``plans.publish``;
+those that need claim rows from a stored layer read bronze.
 """
 
 from __future__ import annotations
@@ -67,23 +67,21 @@ def documents_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def claim_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows with ``sale_day`` beside their 24 columns, from stored documents."""
+    return plans.bronze(documents_layer(spark, sf_dir), "sale_day")
+
+
 def bronze_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored bronze with ``sale_day`` beside its 24 columns."""
     path = _once(
         spark,
         sf_dir,
         "bronze",
-        lambda target: write_layer(
-            plans.bronze(documents_layer(spark, sf_dir), "sale_day"), target
-        ),
+        lambda target: write_layer(plans.bronze(documents_layer(spark, sf_dir)), target),
     )
     return spark.read.parquet(path)
 
 
-def _bronze_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bronze_layer(spark, sf_dir).select(*plans.BRONZE_COLUMNS)
-
-
 def _store_metrics(spark: SparkSession, rows: DataFrame) -> DataFrame:
     return write_layer(ops.policy_metrics(rows), new_folder(spark, "policy_metrics"))
 
@@ -150,23 +148,23 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def checkpoint_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checkpointed(_bronze_rows(spark, sf_dir))
+    return checkpointed(bronze_layer(spark, sf_dir))
 
 
-# Cleaning, from stored bronze.
+# Cleaning.
 
 
 def silver_project(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.project_silver(bronze_layer(spark, sf_dir))
+    return ops.project_silver(claim_rows(spark, sf_dir))
 
 
 def stamp_etl_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = bronze_layer(spark, sf_dir).select("revenue_id", "claim_amount")
+    rows = claim_rows(spark, sf_dir).select("revenue_id", "claim_amount")
     return ops.stamp_etl_date(rows, AS_OF)
 
 
 def fill_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.fill_nulls(ops.project_silver(bronze_layer(spark, sf_dir)))
+    return ops.fill_nulls(ops.project_silver(claim_rows(spark, sf_dir)))
 
 
 def dedup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,14 +180,14 @@ def strip_special(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.silver(bronze_layer(spark, sf_dir), AS_OF)
+    return plans.silver(claim_rows(spark, sf_dir), AS_OF)
 
 
-# Gold, from stored bronze unless the name says silver.
+# Gold, on bronze rows unless the name says silver.
 
 
 def policy_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.policy_metrics(bronze_layer(spark, sf_dir))
+    return ops.policy_metrics(claim_rows(spark, sf_dir))
 
 
 def _one_metric(name: str) -> Query:
@@ -198,12 +196,12 @@ def _one_metric(name: str) -> Query:
 
 
 def enrich_policy_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    metrics = _store_metrics(spark, bronze_layer(spark, sf_dir))
+    metrics = _store_metrics(spark, claim_rows(spark, sf_dir))
     return plans.gold_claim_policy(documents_layer(spark, sf_dir), metrics)
 
 
 def enrich_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _bronze_rows(spark, sf_dir)
+    rows = bronze_layer(spark, sf_dir)
     return ops.attach_policy_metrics(rows, _store_metrics(spark, rows))
 
 
@@ -213,19 +211,19 @@ def enrich_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def total_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.total_customers(bronze_layer(spark, sf_dir))
+    return ops.total_customers(claim_rows(spark, sf_dir))
 
 
 def _distribution(by: str) -> Query:
-    return lambda spark, sf_dir: ops.distribution(bronze_layer(spark, sf_dir), by)
+    return lambda spark, sf_dir: ops.distribution(claim_rows(spark, sf_dir), by)
 
 
 def monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.monthly_revenue(bronze_layer(spark, sf_dir))
+    return ops.monthly_revenue(claim_rows(spark, sf_dir))
 
 
 def monthly_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.monthly_slice(bronze_layer(spark, sf_dir), YEAR, MONTH, F.col("sale_day"))
+    return ops.monthly_slice(claim_rows(spark, sf_dir), YEAR, MONTH, F.col("sale_day"))
 
 
 def monthly_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,14 +234,14 @@ def monthly_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    groups = ops.distribution(bronze_layer(spark, sf_dir), "age_group")
+    groups = ops.distribution(claim_rows(spark, sf_dir), "age_group")
     path = new_folder(spark, "csv")
     write_csv(groups, path, gather=True)
     return read_csv(spark, path, groups.schema)
 
 
 def csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _bronze_rows(spark, sf_dir)
+    rows = bronze_layer(spark, sf_dir)
     path = new_folder(spark, "csv")
     write_csv(rows, path)
     return read_csv(spark, path, rows.schema)

@@ -12,7 +12,7 @@ from claimstrata.operators import (
     total_customers,
 )
 from claimstrata.plans import bronze, gold_claim_policy
-from claimstrata.registry.queries import bronze_layer, documents_layer
+from claimstrata.registry.queries import claim_rows, documents_layer
 from claimstrata.sinks import write_layer
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -123,7 +123,7 @@ def test_late_explode_equals_row_join(spark):
 
 
 def test_metrics_account_for_every_row(spark):
-    rows = bronze_layer(spark, SF_DIR)
+    rows = claim_rows(spark, SF_DIR)
     known = policy_metrics(rows).where("policy_id is not null")
     assert (
         known.agg(F.sum("total_claims")).first()[0]
@@ -172,7 +172,7 @@ def test_date_texts(spark, settings, ansi):
 
 @pytest.mark.parametrize("month", [1, 3, 12])
 def test_slice_is_the_month_of_the_whole(spark, month):
-    rows = bronze_layer(spark, SF_DIR)
+    rows = claim_rows(spark, SF_DIR)
     whole = monthly_revenue(rows).where(f"year = 1998 and month = {month}")
     for part in (
         monthly_slice(rows, 1998, month),
@@ -183,4 +183,4 @@ def test_slice_is_the_month_of_the_whole(spark, month):
 
 
 def test_slice_of_an_empty_month(spark):
-    assert monthly_slice(bronze_layer(spark, SF_DIR)).count() == 0
+    assert monthly_slice(claim_rows(spark, SF_DIR)).count() == 0
