@@ -30,7 +30,7 @@ _SALE_DAY = """
 _DOCS = f"""
 docs AS (
   SELECT
-    TRY_CAST(l_partkey AS INTEGER) AS customer_code,
+    CASE WHEN l_partkey % 37 <> 0 THEN TRY_CAST(l_partkey AS INTEGER) END AS customer_code,
     CASE WHEN l_partkey % 43 = 0 OR l_partkey % 17 = 0 THEN NULL
          WHEN l_partkey % 41 = 0 THEN CAST(-(l_partkey % 60) AS INTEGER)
          ELSE CAST(18 + l_partkey % 60 AS INTEGER) END AS age,
@@ -169,7 +169,7 @@ ORACLES: dict[str, str] = {
     "read_wire": f"""
 WITH {_DOCS}
 SELECT to_hex(l_orderkey) || '-' || l_linenumber AS oid,
-       CAST(l_partkey AS VARCHAR) AS customer_code,
+       CASE WHEN l_partkey % 37 <> 0 THEN CAST(l_partkey AS VARCHAR) END AS customer_code,
        CASE WHEN l_partkey % 43 = 0 THEN 'x' ELSE CAST(age AS VARCHAR) END AS age,
        age_group, city, acquisition_channel, policy_id,
        CAST(base_coverage_amt AS VARCHAR) AS base_coverage_amt,

@@ -19,7 +19,7 @@ def wire_documents(lineitem: DataFrame) -> DataFrame:
     day_text = F.date_format(day, "yyyy-MM-dd")
     return lineitem.select(
         F.struct(F.concat_ws("-", F.hex(order), line).alias("$oid")).alias("_id"),
-        _wrap(part).alias("customer_code"),
+        _wrap(F.when(part % 37 != 0, part)).alias("customer_code"),
         _wrap(_age(part)).alias("age"),
         F.concat(F.lit("Band "), supplier % 5).alias("age_group"),
         F.when(supplier % 31 != 0, F.concat(F.lit("City "), supplier % 25)).alias("city"),
