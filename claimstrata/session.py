@@ -2,27 +2,44 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
-TARGET_PARTITION_BYTES = 256 * 1024**2
+PARTITION_BYTES = 256 * 1024**2
+_SPLITS = "spark.sql.files.maxPartitionBytes"
 
 
 def settings_for(input_bytes: int) -> dict[str, str]:
-    """SQL settings for a run over ``input_bytes`` of stored data.
+    """SQL settings for a run over ``input_bytes`` of JSON.
 
     Shuffles start with one partition per 256 MB of input, at least 200, and
-    adaptive execution merges those that turn out small. Scans use splits of
-    the same size, so that row-level layers come out in files worth opening.
+    adaptive execution merges those that turn out small. JSON is read in
+    splits of that size. A join whose smaller side fits a hash table in every
+    partition, as the policy metrics do, is run without sorting the rows.
     """
-    partitions = max(200, -(-input_bytes // TARGET_PARTITION_BYTES))
+    partitions = max(200, -(-input_bytes // PARTITION_BYTES))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
-        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(PARTITION_BYTES),
+        _SPLITS: str(PARTITION_BYTES),
     }
 
 
+@contextmanager
+def scan_splits(spark: SparkSession, size: int) -> Iterator[None]:
+    """Plan file scans inside the ``with`` block with splits of at most ``size`` bytes."""
+    before = spark.conf.get(_SPLITS)
+    spark.conf.set(_SPLITS, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(_SPLITS, before)
+
+
 def local_session(cores: int | str = "*", name: str = "claimstrata") -> SparkSession:
     """A single-machine session for tests and the benchmark, without the web page."""
     return (

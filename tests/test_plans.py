@@ -3,7 +3,7 @@
 import pytest
 
 from claimstrata.registry import queries
-from claimstrata.session import settings_for
+from claimstrata.session import scan_splits, settings_for
 
 SF_DIR = "/root/testdata/sf0.001"
 EAGER = {"checkpoint_bronze", "csv_roundtrip", "csv_rows", "published_rows"}
@@ -69,3 +69,12 @@ def test_settings_grow_with_the_data():
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert settings_for(0)[key] == "200"
     assert settings_for(100 * 1024**4)[key] == str(4 * 100 * 1024)
+
+
+def test_scan_splits_are_put_back(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    with pytest.raises(ValueError), scan_splits(spark, 1024):
+        assert spark.conf.get(key) == "1024"
+        raise ValueError
+    assert spark.conf.get(key) == before
