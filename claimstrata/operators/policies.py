@@ -64,7 +64,8 @@ def attach_policy_metrics(
     if (largest or 0) > limit:
         large = metrics.where(known & (size > limit)).select("policy_id", slices.alias("_slices"))
         df = df.join(F.broadcast(large), "policy_id", "left")
-        own_slice = F.when(F.col("_slices").isNull(), 0).otherwise(F.pmod(turn, "_slices"))
+        deal = F.pmod(F.xxhash64(turn), "_slices")
+        own_slice = F.when(F.col("_slices").isNull(), 0).otherwise(deal)
     dealt = df.withColumn("_slice", F.when(known, own_slice).otherwise(turn)).drop("_slices")
 
     sliced = metrics.where(known).withColumn(

@@ -7,25 +7,29 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-PARTITION_BYTES = 256 * 1024**2
+JSON_SPLIT_BYTES = 256 * 1024**2
+JSON_BYTES_PER_PARTITION = 2 * 1024**3
+ADVISORY_BYTES = 256 * 1024**2
 _SPLITS = "spark.sql.files.maxPartitionBytes"
 
 
 def settings_for(input_bytes: int) -> dict[str, str]:
     """SQL settings for a run over ``input_bytes`` of JSON.
 
-    Shuffles start with one partition per 256 MB of input, at least 200, and
-    adaptive execution merges those that turn out small. JSON is read in
-    splits of that size. A join whose smaller side fits a hash table in every
-    partition, as the policy metrics do, is run without sorting the rows.
+    JSON is read in splits of 256 MB. Shuffles start with one partition per
+    2 GB of JSON, at least 200, and adaptive execution merges those that turn
+    out small. At 100 TB that is 51,200 partitions of some hundred MB; more
+    would make the blocks of a shuffle, one per map and reduce task, tiny.
+    A join whose smaller side fits a hash table in every partition, as the
+    policy metrics do, runs without sorting the rows.
     """
-    partitions = max(200, -(-input_bytes // PARTITION_BYTES))
+    partitions = max(200, -(-input_bytes // JSON_BYTES_PER_PARTITION))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
-        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(PARTITION_BYTES),
-        _SPLITS: str(PARTITION_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(ADVISORY_BYTES),
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(ADVISORY_BYTES),
+        _SPLITS: str(JSON_SPLIT_BYTES),
     }
 
 

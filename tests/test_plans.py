@@ -68,7 +68,7 @@ def test_stamp_stays_out_of_the_shuffle(spark):
 def test_settings_grow_with_the_data():
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert settings_for(0)[key] == "200"
-    assert settings_for(100 * 1024**4)[key] == str(4 * 100 * 1024)
+    assert settings_for(100 * 1024**4)[key] == str(100 * 1024 // 2)
 
 
 def test_scan_splits_are_put_back(spark):
