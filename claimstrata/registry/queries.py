@@ -1,9 +1,9 @@
 """One query per operator of the library, over whole tables.
 
-The wire documents and the documents layer are derived from ``lineitem`` once
-per application and folder, and stored in the shared folder. Ingest queries
-read the JSON and the others the documents, as in a run of ``plans.publish``;
-those that need claim rows from a stored layer read bronze.
+The wire documents, the documents layer and bronze are derived from
+``lineitem`` once per application and folder, and stored in the shared folder.
+Ingest queries read the JSON, counts read bronze and the others the documents,
+as in a run of ``plans.publish``.
 """
 
 from __future__ import annotations
@@ -211,15 +211,15 @@ def enrich_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def total_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.total_customers(claim_rows(spark, sf_dir))
+    return ops.total_customers(bronze_layer(spark, sf_dir))
 
 
 def _distribution(by: str) -> Query:
-    return lambda spark, sf_dir: ops.distribution(claim_rows(spark, sf_dir), by)
+    return lambda spark, sf_dir: ops.distribution(bronze_layer(spark, sf_dir), by)
 
 
 def monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.monthly_revenue(claim_rows(spark, sf_dir))
+    return ops.monthly_revenue(claim_rows(spark, sf_dir), F.col("sale_day"))
 
 
 def monthly_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,7 +234,7 @@ def monthly_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    groups = ops.distribution(claim_rows(spark, sf_dir), "age_group")
+    groups = ops.distribution(bronze_layer(spark, sf_dir), "age_group")
     path = new_folder(spark, "csv")
     write_csv(groups, path, gather=True)
     return read_csv(spark, path, groups.schema)
