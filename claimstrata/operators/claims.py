@@ -13,4 +13,5 @@ def explode_claims(df: DataFrame) -> DataFrame:
     a row with a NULL amount. Every other column repeats on each row, so sums
     of per-sale columns over the result count a sale once per claim.
     """
-    return df.withColumn("claim_amount", F.explode("claims")).drop("claims")
+    repeated = [name for name in df.columns if name != "claims"]
+    return df.select(*repeated, F.explode("claims").alias("claim_amount"))
