@@ -9,7 +9,7 @@ from claimstrata.operators import (
     strip_column,
 )
 from claimstrata.plans import silver
-from claimstrata.registry.queries import bronze_layer
+from claimstrata.registry.queries import bronze_layer, claim_rows
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -58,3 +58,12 @@ def test_silver_columns_and_order_of_steps(spark):
         drop_copies(fill_nulls(stamp_etl_date(project_silver(rows), dt.date(2024, 7, 1)))), "age"
     ).select(out.columns)
     assert out.exceptAll(stepwise).count() == stepwise.exceptAll(out).count() == 0
+
+
+def test_a_third_of_all_rows_are_copies_of_one(spark):
+    rows = project_silver(claim_rows(spark, SF_DIR))
+    one = rows.limit(1)
+    copies = one.crossJoin(spark.range(rows.count() // 2).select()).select(rows.columns)
+    out = drop_copies(rows.unionByName(copies))
+    assert out.exceptAll(drop_copies(rows)).count() == 0
+    assert out.count() == drop_copies(rows).count()
