@@ -78,3 +78,12 @@ def test_scan_splits_are_put_back(spark):
         assert spark.conf.get(key) == "1024"
         raise ValueError
     assert spark.conf.get(key) == before
+
+
+def test_large_metrics_are_joined_without_sorting_under_the_settings(spark, settings):
+    with settings({**settings_for(1), "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        rows = queries.enrich_policy_metrics(spark, SF_DIR)
+        sums = rows.selectExpr("sum(total_claims) t", "sum(claim_amount) c", "max(sale_id) s")
+        sums.collect()
+        final = plan(sums).split("Initial Plan")[0]
+    assert "ShuffledHashJoin" in final and "SortMergeJoin" not in final
