@@ -184,3 +184,14 @@ def test_slice_is_the_month_of_the_whole(spark, month):
 
 def test_slice_of_an_empty_month(spark):
     assert monthly_slice(claim_rows(spark, SF_DIR)).count() == 0
+
+
+def test_empty_frames(spark):
+    empty = spark.createDataFrame([], ROWS)
+    assert attached(empty).count() == 0
+    only_null = spark.createDataFrame([(None, 1)], ROWS)
+    assert [tuple(row) for row in attached(only_null).collect()] == [(None, 1, None, None, None)]
+    unmatched = attach_policy_metrics(
+        spark.createDataFrame([("p", 1)], ROWS), policy_metrics(empty)
+    )
+    assert [tuple(row) for row in unmatched.collect()] == [("p", 1, None, None, None)]
