@@ -1,0 +1,203 @@
+"""The registered queries on whole tables against plain Python."""
+
+import hashlib
+import math
+import re
+
+import brute
+import duckdb
+import numpy as np
+import pandas as pd
+import public_tokenizers
+import pytest
+
+from claimstrata.llm import url_rules
+from claimstrata.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def table(name, sf_dir=SF_DIR):
+    return duckdb.connect().execute(f"SELECT * FROM '{sf_dir}/{name}.parquet'").df()
+
+
+@pytest.fixture(scope="module")
+def docs():
+    return table("documents").sort_values("doc_id").reset_index(drop=True)
+
+
+def result(spark, name, key="doc_id", sf_dir=SF_DIR):
+    return QUERIES[name](spark, sf_dir).toPandas().sort_values(key).reset_index(drop=True)
+
+
+def python_tokens(url):
+    if url is None or "://" not in url:
+        return []
+    scheme, rest = url.split("://", 1)
+    host = re.match("[^/?#]*", rest)[0]
+    path = re.match("[^?#]*", rest[len(host) :])[0]
+    query = re.search(r"\?([^#]*)", url)
+    found = ["scheme:" + scheme.lower()]
+    found += ["host:" + x for x in host.translate(brute.LOWER).split(".")]
+    found += ["path:" + x for x in re.split("[/.]", re.sub("[0-9]+", "#", path))]
+    found += ["query:" + x.split("=")[0] for x in (query[1] if query else "").split("&")]
+    return list(dict.fromkeys(x for x in found if not x.endswith(":")))
+
+
+def test_url_rules(spark):
+    pages, labels = table("pages").sort_values("page_id"), table("labels")
+    bad = {i: q == 0 or t == 1 for i, q, t in labels.itertuples(index=False)}
+    got = result(spark, "op1_url_rules", "page_id")
+    baskets, expected = [], []
+    for url in pages["url"]:
+        number = re.search("([0-9]+)[^0-9]*$", re.match("[^?#]*", url.split("://")[1])[0])
+        if number and int(number[1]) in bad:
+            baskets.append((python_tokens(url), bad[int(number[1])]))
+    plan = url_rules.Mining()
+    rules = brute.mined_rules(baskets, plan.support, plan.confidence, plan.lift)
+    assert rules
+    for url in pages["url"]:
+        rest = url.split("://", 1)[1]
+        host = re.match("[^/?#]*", rest)[0].lower()
+        path = re.match("[^/?#]*([^?#]*)", rest)[1]
+        fits = [
+            (len(r), r, v)
+            for r, v in url_rules.RULES
+            if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0])) and path.startswith("/" + r.split("/", 1)[1])
+        ]
+        mined = any(rule <= set(python_tokens(url)) for rule in rules)
+        _, rule, verdict = max(fits, default=(0, None, "block" if mined else "allow"))
+        expected.append((host, path, rule, verdict))
+    assert [tuple(x) for x in got[["host", "path", "rule", "verdict"]].itertuples(index=False)] == expected
+    assert {"allow", "block"} == set(got[got["rule"].isna()]["verdict"])
+
+
+def test_quality_rules(spark, docs):
+    got = result(spark, "op2_quality_rules")
+    want = pd.DataFrame([brute.quality(x) for x in docs["text"]])
+    pd.testing.assert_frame_equal(got[want.columns.tolist()], want, check_dtype=False)
+    assert 0.5 < got["kept"].mean() < 1
+
+
+def test_quality_keeps_clean_documents(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    got = result(spark, "op2_quality_rules", sf_dir=sf_dir).merge(table("labels", sf_dir), on="doc_id")
+    clean = got[(got["quality"] == 1) & ~got["base_failed"]]
+    assert clean["kept"].mean() > 0.995
+
+
+def test_token_counts(spark, docs):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    encoded = library.encode_batch(list(docs["text"]), add_special_tokens=False)
+    got = result(spark, "op3_token_counts")
+    assert got["n_tokens"].tolist() == [len(x.ids) for x in encoded]
+    assert got["n_bytes"].tolist() == [len(x.encode()) for x in docs["text"]]
+    assert (got["over_limit"] == (got["n_tokens"] > 2048)).all()
+
+
+def test_toxicity_on_held_out_rows(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    got = result(spark, "op4_toxicity", sf_dir=sf_dir)
+    assert len(got) == 10_000 and got["score"].between(0, 1).all()
+    held = got[got["held_out"]].merge(table("labels", sf_dir), on="doc_id")
+    ranks = held["score"].rank()
+    bad = held["toxic"] == 1
+    auc = (ranks[bad].sum() - bad.sum() * (bad.sum() + 1) / 2) / (bad.sum() * (~bad).sum())
+    assert auc > 0.98
+    assert (held["predicted"] == held["toxic"]).mean() > 0.97
+
+
+def test_parse_dedup(spark, docs):
+    got = result(spark, "op5_parse_dedup")
+    want = brute.remove_repeats(docs["text"])
+    assert [tuple(x)[1:] for x in got.itertuples(index=False)] == want
+    assert got["n_removed"].sum() > 100_000
+
+
+def test_line_dedup(spark, docs):
+    got = result(spark, "op6_line_dedup")
+    gone = brute.removed_lines(list(zip(docs["doc_id"], docs["text"])))
+    number, chars = {}, {}
+    for key, _, _, n in gone:
+        number[key[1]] = number.get(key[1], 0) + 1
+        chars[key[1]] = chars.get(key[1], 0) + n
+    assert got["n_removed"].tolist() == [number.get(i, 0) for i in docs["doc_id"]]
+    assert got["chars_removed"].tolist() == [chars.get(i, 0) for i in docs["doc_id"]]
+    assert got["n_lines"].tolist() == [x.count("\n") + 1 for x in docs["text"]]
+
+
+def test_preference_chats(spark):
+    turns = table("conversations").sort_values(["conv_id", "turn", "role", "text"])
+    held = {i: list(zip(g["role"], g["text"])) for i, g in turns.groupby("conv_id")}
+    got = result(spark, "op7_preference_chats", "conv_id")
+    assert got["conv_id"].tolist() == sorted(held)
+    show = lambda part: "".join(f"<|{r}|>\n{t}<|end|>\n" for r, t in part)
+    learn = lambda part: "".join(f"{t}<|end|>\n" for r, t in part if r == "assistant")
+    for row in got.itertuples():
+        mine, other = held[row.conv_id], held.get(row.conv_id ^ 1)
+        last = max((i for i, (r, _) in enumerate(mine) if r == "assistant"), default=len(mine))
+        reply = [x for x in (other or []) if x[0] == "assistant"][-1:] if last < len(mine) or True else []
+        rejected = mine[:last] + reply
+        same = 0
+        while same < min(len(mine), len(rejected)) and mine[same] == rejected[same]:
+            same += 1
+        assert (row.prompt_turns, row.prompt) == (same, show(mine[:same]))
+        assert (row.chosen, row.rejected) == (show(mine[same:]), show(rejected[same:]))
+        assert (row.chosen_trained, row.rejected_trained) == (learn(mine[same:]), learn(rejected[same:]))
+
+
+def test_decontamination(spark, docs):
+    items = table("benchmark")
+    want = brute.decontaminate(docs["text"], list(items.itertuples(index=False, name=None)))
+    got = result(spark, "op8_decontamination")
+    assert [tuple(x)[1:] for x in got.itertuples(index=False)] == want
+    assert 0 < got["contaminated"].sum() < len(got) / 2
+
+
+def test_mixing(spark, docs):
+    got = QUERIES["op9_mixing"](spark, SF_DIR).toPandas()
+    assert sorted(got["doc_id"]) == docs["doc_id"].tolist()
+    sizes = docs.groupby("source").size()
+    order = sorted(sizes.index, key=lambda s: (-sizes[s], s))
+    weight = {s: math.sqrt(sizes[s]) for s in order}
+    shares = [max(1, int(1000 * weight[s] / sum(weight.values()) + 0.5)) for s in order]
+    slots = brute.schedule(shares)
+    where = [[t for t, i in enumerate(slots) if i == lane] for lane in range(len(order))]
+    for lane, source in enumerate(order):
+        mine = got[got["source"] == source].sort_values(["slot", "place"])
+        ids = docs[docs["source"] == source]["doc_id"]
+        assert mine["doc_id"].tolist() == sorted(ids, key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+        for rank, row in enumerate(mine.itertuples()):
+            block = rank // 16
+            assert (row.block, row.place) == (block, rank % 16)
+            period = block // shares[lane]
+            assert row.slot == period * sum(shares) + where[lane][block % shares[lane]]
+
+
+@pytest.mark.parametrize("shares", [[500, 300, 150, 50], [1, 1, 1], [997, 2, 1], [7], list(range(1, 40))])
+def test_schedule_stays_within_a_block(spark, shares):
+    from claimstrata.llm.mixing import _schedule
+
+    lanes = spark.createDataFrame(list(enumerate(shares, 1)), "lane int, share long")
+    rows = _schedule(lanes).toPandas().sort_values("slot")
+    assert (rows["lane"] - 1).tolist() == brute.schedule(shares)
+    for lane, share in enumerate(shares, 1):
+        done = np.cumsum(rows["lane"] == lane)
+        due = np.arange(1, len(rows) + 1) * share / sum(shares)
+        assert np.abs(done - due).max() < 1
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_near_duplicates(spark, docs, size):
+    from claimstrata.llm.near_dup import near_duplicates
+
+    got = near_duplicates(spark.read.parquet(f"{SF_DIR}/documents.parquet"), size)
+    got = got.toPandas().sort_values("doc_id").reset_index(drop=True)
+    sets = brute.shingle_sets(docs["text"], size)
+    want = [int(docs["doc_id"][i]) for i in brute.near_components(sets)]
+    assert got["n_shingles"].tolist() == [len(x) for x in sets]
+    assert got["component_id"].tolist() == want
+    assert (got["kept"] == (got["doc_id"] == got["component_id"])).all()
+    assert (~got["kept"]).sum() > 50
