@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as contract
+from claimstrata.registry.oracles import ORACLES
+from claimstrata.registry.queries import QUERIES
 from compare import assert_same, connect
 
 SF_DIR = "/root/testdata/sf0.01"
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
