@@ -9,52 +9,59 @@ that are left are compared in full.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 LEAST_WORDS = 5
 RARITY_BUCKETS = 1 << 16
-_WHITE = "[\\x20\\x09-\\x0D]+"
-_HASH_BITS = 53
+_OTHER_BLANKS = "\t\n\x0b\x0c\r"
+_HASH_BITS = 58
 _LEVELS = 31
 
 
 def _words(text: Column) -> Column:
-    return F.array_remove(F.split(text, _WHITE), "")
+    """Words between white space; a split at single blanks needs no pattern matcher."""
+    for blank in _OTHER_BLANKS:
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
 
 
 def _rarity(docs: DataFrame, buckets: int) -> Column:
-    """A byte by bucket of word hashes: the logarithm of how often its words occur in all texts.
+    """A number by bucket of word hashes: the logarithm of how often its words occur in all texts.
 
-    Counted over all texts. The table has ``buckets`` bytes whatever the size
-    of the data and is a constant of the plan.
+    Counted over all texts. The table has ``buckets`` small numbers whatever
+    the size of the data and is a constant of the plan.
     """
     words = docs.select(F.explode(_words(F.col("text"))).alias("word"))
-    counts = words.groupBy(F.pmod(F.xxhash64("word"), F.lit(buckets)).alias("bucket")).agg(
+    counts = words.groupBy(_bucket(F.xxhash64("word"), buckets).alias("bucket")).agg(
         F.least(F.floor(F.log2(F.count(F.lit(1)) + 1)), F.lit(_LEVELS)).alias("level")
     )
-    levels = bytearray(buckets)
+    levels = [0] * buckets
     for row in counts.collect():
         levels[row["bucket"]] = row["level"]
-    return F.lit(levels)
+    return F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")
+
+
+def _bucket(hashed: Column, buckets: int) -> Column:
+    return F.pmod(hashed, F.lit(buckets)).cast("int")
 
 
 def _keys(line: Column, levels: Column, buckets: int) -> Column:
     """The different words of a line as numbers, the rarest first.
 
-    Among words of one level the longer ones count as rarer, then the hash
-    decides; any order that all lines share gives the same result.
+    The hash decides among words of one level; any order that all lines share
+    gives the same result.
     """
+    hashes = F.transform(_words(line), lambda word: F.xxhash64(word))
 
-    def key(word: Column) -> Column:
-        hashed = F.xxhash64(word)
-        bucket = F.pmod(hashed, F.lit(buckets)).cast("int")
-        level = F.ascii(F.substring(levels, bucket + 1, F.lit(1)).cast("string"))
-        short = _LEVELS - F.least(F.length(word), F.lit(_LEVELS))
-        rank = F.shiftleft((level * (_LEVELS + 1) + short).cast("long"), _HASH_BITS)
-        return rank.bitwiseOR(hashed.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)))
+    def key(hashed: Column) -> Column:
+        level = F.coalesce(F.get(levels, _bucket(hashed, buckets)), F.lit(0).cast("long"))
+        return F.shiftleft(level, _HASH_BITS).bitwiseOR(hashed.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)))
 
-    return F.sort_array(F.array_distinct(F.transform(_words(line), key)))
+    return F.sort_array(F.transform(F.array_distinct(hashes), key))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -68,68 +75,101 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _identity(lines: DataFrame) -> DataFrame:
-    return lines.withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(6), "line")})
+    return lines.withColumns({"h": F.xxhash64("line"), "check": F.xxhash64(F.lit(6), "line")})
+
+
+def _differ(a: Column, b: Column) -> Column:
+    """At least so many words are in one of two lines only."""
+    return F.bit_count(a["bits"].bitwiseXOR(b["bits"]))
+
+
+def _allow(a: Column, b: Column) -> Column:
+    """Whether sizes, positions and bitmaps of two lines that share a key allow the similarity."""
+    total = a["n"] + b["n"]
+    room = F.least(a["at"], b["at"]) + F.least(a["n"] - a["at"], b["n"] - b["at"])
+    sizes = 5 * F.least(a["n"], b["n"]) >= 4 * F.greatest(a["n"], b["n"])
+    return (9 * _differ(a, b) <= total) & sizes & (9 * room >= 4 * total)
+
+
+def _index(classes: DataFrame, levels: Column, buckets: int) -> DataFrame:
+    """``key, of``: a row for each of the words of a line on which similar lines must meet.
+
+    ``of`` is one struct that orders lines by their place, so that every use
+    of the index takes the same two columns and Spark shuffles it once.
+    """
+    keyed = classes.select("h", "best", "copies", "one", _keys(F.col("best.line"), levels, buckets).alias("keys"))
+    sized = keyed.withColumn("n", F.coalesce(F.size("keys"), F.lit(0)))
+    bits = F.expr("coalesce(aggregate(keys, 0L, (b, k) -> b | shiftleft(1L, int(k & 63))), 0L)")
+    # Lines of too few words have no prefix; a filter would make the keys twice.
+    few = f"n < {LEAST_WORDS} OR copies < 1 OR NOT one"
+    prefix = F.expr(f"slice(keys, 1, IF({few}, 0, n - int((4 * n + 4) div 5) + 1))")
+    rows = sized.select(
+        "h", "best.id", "best.line_no", "n", bits.alias("bits"), F.posexplode(prefix).alias("at", "key")
+    )
+    return rows.select("key", F.struct("id", "line_no", "h", "n", "at", "bits").alias("of"))
+
 
+def _confirmed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs with ``alike``, from the words of both lines."""
+    lines = classes.where("copies > 0 AND one").select("h", F.col("best.line").alias("line"))
+    pairs = pairs.join(lines.toDF("h", "line_a"), "h")
+    pairs = pairs.join(lines.toDF("o", "line_b"), "o")
+    x, y = F.array_distinct(_words(F.col("line_a"))), F.array_distinct(_words(F.col("line_b")))
+    alike = 9 * F.size(F.array_intersect(x, y)) >= 4 * (F.size(x) + F.size(y))
+    return pairs.select("h", alike.alias("alike"))
 
-def _place() -> Column:
-    """What orders lines: a null id first, then id, text and line number."""
-    return F.struct("id", "th", "line_no")
+
+def _repeating(classes: DataFrame, levels: Column, buckets: int) -> DataFrame:
+    """``h`` of the lines to which an earlier line is similar.
+
+    One earlier line is enough. A line is held against the earliest line under
+    each of its keys, and against the others under a key if the earliest
+    cannot be similar, so the members of a large group of variants are not all
+    paired up. Of these the one whose bitmap differs least is compared first;
+    lines that it does not settle meet all earlier ones.
+    """
+    index = _index(classes, levels, buckets)
+    led = index.withColumn("first", F.first("of").over(Window.partitionBy("key").orderBy("of")))
+    later = led.where((F.col("of.h") != F.col("first.h")) & (F.col("of") > F.col("first")))
+    near_first = _allow(F.col("of"), F.col("first"))
+
+    def others(rows: DataFrame) -> DataFrame:
+        x, y = rows.alias("x"), index.alias("y")
+        a, b = F.col("x.of"), F.col("y.of")
+        meet = (F.col("x.key") == F.col("y.key")) & (b < a) & (a["h"] != b["h"]) & _allow(a, b)
+        return x.join(y, meet).select(a["h"].alias("h"), b["h"].alias("o"), _differ(a, b).alias("differ"))
+
+    leading = later.where(near_first).select(
+        F.col("of.h").alias("h"), F.col("first.h").alias("o"), _differ(F.col("of"), F.col("first")).alias("differ")
+    )
+    tried = leading.unionByName(others(later.where(~near_first)))
+    closest = tried.groupBy("h").agg(F.min(F.struct("differ", "o")).alias("c")).select("h", "c.o")
+    judged = _confirmed(closest, classes)
+    again = judged.where("NOT alike").select("h")
+    every = others(later.join(again, F.col("of.h") == F.col("h"), "left_semi")).select("h", "o").distinct()
+    rest = _confirmed(every, classes).where("alike").select("h").distinct()
+    return judged.where("alike").select("h").unionByName(rest)
 
 
 def removed_lines(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> DataFrame:
     """``id, th, line_no, n_chars`` of every line that repeats an earlier one."""
     lines = _identity(_lines(docs))
-    classes = lines.groupBy("h1", "h2").agg(
-        F.min(_place()).alias("first"), F.first("line").alias("line"), F.count(F.lit(1)).alias("copies")
+    # All uses of the classes take the same columns, so Spark shuffles them once.
+    classes = lines.groupBy("h").agg(
+        F.min(F.struct("id", "line_no", "line")).alias("best"),
+        F.count(F.lit(1)).alias("copies"),
+        (F.min("check") == F.max("check")).alias("one"),
     )
-    levels = _rarity(docs, buckets)
-    keyed = classes.select("h1", "h2", _keys(F.col("line"), levels, buckets).alias("keys"))
-    sized = keyed.withColumn("n", F.size("keys"))
-    bits = F.expr("aggregate(keys, 0L, (b, k) -> b | shiftleft(1L, int(k & 63)))")
-    # Lines of too few words have no prefix; a filter would make the keys twice.
-    prefix = F.expr(f"slice(keys, 1, IF(n < {LEAST_WORDS}, 0, n - int((4 * n + 4) div 5) + 1))")
-    index = sized.select("h1", "h2", "n", bits.alias("bits"), F.posexplode(prefix).alias("at", "key"))
-
-    a, b = index.alias("a"), index.alias("b")
-    total = F.col("a.n") + F.col("b.n")
-    room = F.least(F.col("a.at"), F.col("b.at")) + 1 + F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at")) - 1
-    differ = F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits")))
-    meet = (
-        (F.col("a.key") == F.col("b.key"))
-        & ((F.col("a.h1") < F.col("b.h1")) | ((F.col("a.h1") == F.col("b.h1")) & (F.col("a.h2") < F.col("b.h2"))))
-        & (9 * differ <= total)
-        & (5 * F.least(F.col("a.n"), F.col("b.n")) >= 4 * F.greatest(F.col("a.n"), F.col("b.n")))
-        & (9 * room >= 4 * total)
-    )
-    pairs = a.join(b, meet).select(
-        F.col("a.h1").alias("a1"), F.col("a.h2").alias("a2"), F.col("b.h1").alias("b1"), F.col("b.h2").alias("b2")
-    ).distinct()
-
-    whole = classes.select("h1", "h2", "first", "line")
-    for side in ("a", "b"):
-        held = whole.toDF(f"{side}1", f"{side}2", f"first_{side}", f"line_{side}")
-        pairs = pairs.join(held, [f"{side}1", f"{side}2"])
-    x, y = F.array_distinct(_words(F.col("line_a"))), F.array_distinct(_words(F.col("line_b")))
-    common = F.size(F.array_intersect(x, y))
-    alike = pairs.where(9 * common >= 4 * (F.size(x) + F.size(y)))
-    links = alike.select(
-        F.explode(
-            F.array(
-                F.struct(F.col("a1").alias("h1"), F.col("a2").alias("h2"), F.col("first_b").alias("other")),
-                F.struct(F.col("b1").alias("h1"), F.col("b2").alias("h2"), F.col("first_a").alias("other")),
-            )
-        ).alias("e")
-    ).select("e.*")
-    earliest = links.groupBy("h1", "h2").agg(F.min("other").alias("other"))
-
-    words_enough = F.size(F.array_distinct(_words(F.col("line")))) >= LEAST_WORDS
-    cut = classes.where(words_enough).join(earliest, ["h1", "h2"], "left")
-    cut = cut.where("copies > 1 OR other IS NOT NULL").select(
-        F.col("h1").alias("c1"), F.col("h2").alias("c2"), F.least("first", "other").alias("cut")
+    repeating = _repeating(classes, _rarity(docs, buckets), buckets).withColumn("repeats", F.lit(True))
+    enough = F.size(F.array_distinct(_words(F.col("best.line")))) >= LEAST_WORDS
+    cut = classes.where(enough & F.col("one")).join(repeating, "h", "left")
+    cut = cut.where("copies > 1 OR repeats").select(
+        F.col("h").alias("of"), "repeats", F.struct("best.id", "best.line_no").alias("first")
     )
-    placed = lines.select("id", "th", "line_no", F.length("line").alias("n_chars"), "h1", "h2")
-    later = placed.join(cut, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")))
-    return later.where(_place() > F.col("cut")).select("id", "th", "line_no", "n_chars")
+    placed = lines.select("id", "th", "line_no", F.length("line").alias("n_chars"), "h")
+    met = placed.join(cut, F.col("h") == F.col("of"))
+    later = F.col("repeats").isNotNull() | (F.struct("id", "line_no") > F.col("first"))
+    return met.where(later).select("id", "th", "line_no", "n_chars")
 
 
 def line_figures(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> DataFrame:
@@ -138,16 +178,19 @@ def line_figures(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> DataFrame:
     Lines end at a line feed. A line takes part if it has ``LEAST_WORDS``
     different words (runs without white space); it is removed if an earlier
     line of the corpus has a word set of Jaccard similarity 0.8 or more to its
-    own, whether or not that line stays. Lines are ordered by document id,
-    then text, then line number; null ids come first.
+    own, whether or not that line stays. Lines are ordered by document id
+    (null first), then line number, then a hash.
 
     A null text has no lines, an empty one a single empty line that stays.
-    Rows equal in id and text are one document. Other columns are ignored. An
+    Rows equal in id and text are one document; of rows that share only the id,
+    equal lines of one number both stay. Different lines of one 64-bit hash, told
+    apart by a second one, all stay. Other columns are ignored. An
     empty table gives an empty one.
 
     Equal lines are one class after a grouping with partial results, so a line
     of a third of all rows costs one row per task. Rarity comes from a count
-    over all texts in ``buckets`` classes of words (64 KB in the plan). No candidate is capped.
+    over all texts in ``buckets`` classes of words (64 K in the plan). No candidate is
+    capped, and groups of similar lines are not paired up in full.
     """
     gone = removed_lines(docs, buckets).distinct().groupBy("id", "th").agg(
         F.count(F.lit(1)).alias("n_removed"),
