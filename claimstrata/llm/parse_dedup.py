@@ -42,22 +42,30 @@ MEAN_PHRASE = 24
 # Bytes after a trigger that name its neighbourhood. Windows that start
 # farther before their first trigger are compared one by one.
 NEAR = 100
-BLOCKS_PER_PARTITION = 4
+BLOCKS_PER_PARTITION = 3
 
 _SEEDS = (51, 52)
 DEAD, SETTLED, PARTNER, OPEN = 0, 1, 2, 3
 
 
 class Parsed:
-    """A portion of documents as bytes, with its triggers, phrases and names."""
+    """A portion of documents as bytes, with its triggers, phrases and names.
+
+    ``live`` and ``gaps`` are set when the dictionary, ``open`` and ``settled``
+    when the parse is known.
+    """
+
+    live: np.ndarray
+    gaps: tuple[np.ndarray, np.ndarray, np.ndarray]
+    open: np.ndarray
+    settled: np.ndarray
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, least: int) -> None:
         self.data, self.offsets, self.least = data, offsets, least
         self.namers = [names(seed) for seed in _SEEDS]
-        self.prepare()
+        self.sums: dict[int, np.ndarray] = {}
         size = len(data)
-        starts = np.arange(max(0, size - TRIGGER + 1))
-        hashed = self.named(0, starts, starts + TRIGGER)
+        hashed = self.namers[0].every(self._sums(0), TRIGGER)
         marks = hashed < np.uint64((1 << 64) // MEAN_PHRASE)
         for back in range(1, TRIGGER):  # a trigger does not cross documents
             at = offsets[1:-1] - back
@@ -71,43 +79,47 @@ class Parsed:
         self.phrase_start = self.before[paired]
         self.phrase_end = self.triggers[paired] + TRIGGER
         # Windows of ``least`` bytes inside a document.
-        fits = np.zeros(size + 1, np.int64)
+        fits = np.zeros(size + 1, np.int32)
         long = np.flatnonzero(np.diff(offsets) >= least)
         np.add.at(fits, offsets[long], 1)
         np.add.at(fits, offsets[long + 1] - least + 1, -1)
-        self.fits = np.cumsum(fits[:-1]) > 0
+        self.fits = np.cumsum(fits[:-1], dtype=np.int32) > 0
 
-    def prepare(self) -> Parsed:
-        """Make the sums that names need; ``release`` gives their memory back."""
-        self.sums = [namer.sums(self.data) for namer in self.namers]
-        return self
+    def _sums(self, which: int) -> np.ndarray:
+        if which not in self.sums:
+            self.sums[which] = self.namers[which].sums(self.data)
+        return self.sums[which]
 
     def release(self) -> None:
-        self.sums = []
+        """Give back what names need; it is made again when it is asked for."""
+        self.sums = {}
 
     def named(self, which: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return self.namers[which].of(self.sums[which], starts, ends)
+        if not len(starts):
+            return np.zeros(0, np.uint64)
+        return self.namers[which].of(self._sums(which), starts, ends)
 
     def phrases(self) -> np.ndarray:
         return self.named(0, self.phrase_start, self.phrase_end)
 
-    def live(self, repeated: np.ndarray) -> np.ndarray:
+    def alive(self, repeated: np.ndarray) -> np.ndarray:
         """Windows that do not hold a phrase which occurs once; ``repeated`` is by phrase."""
-        change = np.zeros(len(self.data) + 1, np.int64)
+        change = np.zeros(len(self.data) + 1, np.int32)
         once = ~repeated
         start, end = self.phrase_start[once], self.phrase_end[once]
         row = np.searchsorted(self.offsets, start, "right") - 1
         low = np.maximum(end - self.least, self.offsets[row])
         inside = low <= start
         np.add.at(change, low[inside], 1)
-        np.add.at(change, start[inside] + 1, -1)
-        return self.fits & (np.cumsum(change[:-1]) == 0)
+        change[start[inside] + 1] -= 1
+        return self.fits & (np.cumsum(change[:-1], dtype=np.int32) == 0)
 
-    def gaps(self, live: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def find_gaps(self, live: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The triggers that are the first of a live window near by, and where those windows begin."""
         low = np.where(self.after_first, self.before + 1, self.begin)
         near = np.maximum(low, self.triggers - NEAR)
-        total = np.r_[0, np.cumsum(live)]
+        total = np.zeros(len(live) + 1, np.int32)
+        np.cumsum(live, out=total[1:], dtype=np.int32)
         return np.flatnonzero(total[np.minimum(self.triggers + 1, len(live))] > total[near]), low, near
 
     def suffixes(self, at: np.ndarray) -> np.ndarray:
@@ -121,6 +133,15 @@ class Parsed:
             entry[whole, 1 + i] = self.named(i, start, end) | np.uint64(1)
         return entry
 
+    def unsettled(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Windows to compare one by one, and a flag for windows that are known to repeat."""
+        at, low, near = self.gaps
+        size = len(self.data)
+        settled = _cover(size, low[at], self.triggers[at], (code == SETTLED) | (code == PARTNER))
+        wanted = _cover(size, near[at], self.triggers[at], (code == PARTNER) | (code == OPEN))
+        close = _cover(size, near, self.triggers, np.ones(len(near), bool))
+        return np.flatnonzero(self.live & (wanted | ~close)), settled & self.fits
+
     def windows(self, at: np.ndarray) -> np.ndarray:
         return np.stack([self.named(i, at, at + self.least) for i in (0, 1)], 1)
 
@@ -131,28 +152,42 @@ def _portions(table: pa.Table) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarra
     start = 0
     while start < table.num_rows:
         before = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, before + PORTION_BYTES, "right")))
+        stop = max(start + 1, int(np.searchsorted(ends, before + PORTION_BYTES // 4, "right")))
         part = table.slice(start, stop - start)
         yield part, *byte_view(part.column("text").combine_chunks())
         start = stop
 
 
-def _counted(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct rows of a matrix in order, and whether each occurs twice or more."""
-    order = np.lexsort(rows.T[::-1])
-    rows = rows[order]
-    head = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]).any(axis=1)][: len(rows)])
-    return rows[head], np.diff(np.r_[head, len(rows)]) > 1
+def _key(rows: np.ndarray) -> np.ndarray:
+    """The column that tells rows apart: the second where it is set, or else the first."""
+    return rows[:, 0] if rows.shape[1] == 1 else np.where(rows[:, 1] > 0, rows[:, 1], rows[:, 0])
+
+
+def _ordered(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal rows are neighbours, and where each row differs from the one before."""
+    keys = _key(rows)
+    order = np.argsort(keys, kind="stable")
+    keys, moved = keys[order], rows[order]
+    new = np.r_[True, (moved[1:] != moved[:-1]).any(axis=1)][: len(rows)]
+    if (new[1:] & (keys[1:] == keys[:-1])).any():  # different rows of one key
+        order = np.lexsort(rows.T[::-1])
+        moved = rows[order]
+        new = np.r_[True, (moved[1:] != moved[:-1]).any(axis=1)][: len(rows)]
+    return order, new
 
 
-def _find(rows: np.ndarray, entries: np.ndarray) -> np.ndarray:
-    """The place of each entry among distinct ordered rows that hold it."""
-    both = np.concatenate([rows, entries])
-    order = np.lexsort((np.r_[np.zeros(len(rows)), np.ones(len(entries))], *both.T[::-1]))
-    place = np.cumsum(order < len(rows)) - 1
-    found = np.empty(len(both), np.int64)
-    found[order] = place
-    return found[len(rows) :]
+def _counted(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct rows of a matrix, ordered by the first column, whether each occurs
+    twice or more, and the place of every row among them."""
+    order, new = _ordered(rows)
+    head = np.flatnonzero(new)
+    again = np.diff(np.r_[head, len(rows)]) > 1
+    by_first = np.argsort(rows[order[head], 0], kind="stable")
+    moved = np.empty(len(head), np.int64)
+    moved[by_first] = np.arange(len(head))
+    place = np.empty(len(rows), np.int64)
+    place[order] = moved[np.cumsum(new) - 1]
+    return rows[order[head[by_first]]], again[by_first], place
 
 
 def _slices(rows: np.ndarray, buckets: int) -> np.ndarray:
@@ -162,10 +197,11 @@ def _slices(rows: np.ndarray, buckets: int) -> np.ndarray:
 
 
 class _Block:
-    """A block of documents with the answers it got so far, as exchanges unfold it again."""
+    """A block of documents with the answers it got so far, from which it goes through the
+    exchanges again. Of its portions it holds bytes, triggers and flags, and the sums that
+    names need of one at a time."""
 
-    def __init__(self, docs: pa.Table, answers: pa.Table | None, least: int, buckets: int) -> None:
-        self.buckets = buckets
+    def __init__(self, docs: pa.Table, answers: pa.Table | None, least: int) -> None:
         self.answers: dict[int, np.ndarray] = {}
         if answers is not None and answers.num_rows:
             steps = answers.column("step").to_numpy()
@@ -174,61 +210,50 @@ class _Block:
             for step in np.unique(steps):
                 held = [codes[i] for i in order if steps[i] == step]
                 self.answers[int(step)] = np.frombuffer(b"".join(held), np.uint8)
-        self.docs, self.least = docs, least
-        self._parsed: list[tuple[pa.Table, Parsed]] = []
+        self.tables, self.parsed = [], []
+        for part, data, offsets in _portions(docs):
+            self.tables.append(part)
+            self.parsed.append(Parsed(data, offsets, least))
+            self.parsed[-1].release()
         self._entries: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-    def parsed(self) -> Iterator[tuple[pa.Table, Parsed]]:
-        """The portions one by one; of the others only triggers and bytes are held."""
-        if not self._parsed:
-            for part, data, offsets in _portions(self.docs):
-                self._parsed.append((part, Parsed(data, offsets, self.least)))
-                yield self._parsed[-1]
-                self._parsed[-1][1].release()
-            return
-        for part, p in self._parsed:
-            yield part, p.prepare()
-            p.release()
+        self._places: dict[int, list[np.ndarray]] = {}
 
     def entries(self, step: int) -> tuple[np.ndarray, np.ndarray]:
         """The distinct entries of an exchange, ordered, and whether each repeats here."""
-        if step not in self._entries:
-            self._entries[step] = self._collect(step)
+        while len(self._entries) < step:
+            self._collect(len(self._entries) + 1)
         return self._entries[step]
 
-    def _collect(self, step: int) -> tuple[np.ndarray, np.ndarray]:
-        if step == 1:
-            found = [p.phrases()[:, None] for _, p in self.parsed()]
-            return _counted(np.concatenate([np.zeros((0, 1), np.uint64), *found]))
-        dictionary = self.entries(1)[0]
-        if step == 2:
-            found = [p.suffixes(p.gaps(self._live(p, dictionary))[0]) for _, p in self.parsed()]
-            return _counted(np.concatenate([np.zeros((0, 3), np.uint64), *found]))
-        parse = self.entries(2)[0]
-        found = [p.windows(self._open(p, dictionary, parse)[0]) for _, p in self.parsed()]
-        return _counted(np.concatenate([np.zeros((0, 2), np.uint64), *found]))
-
-    def _live(self, p: Parsed, dictionary: np.ndarray) -> np.ndarray:
-        at = _find(dictionary, p.phrases()[:, None])
-        return p.live(self.answers[1][at] > 0) if len(at) else p.live(np.zeros(0, bool))
-
-    def _open(self, p: Parsed, dictionary: np.ndarray, parse: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Windows to compare one by one, and a flag for windows that are known to repeat."""
-        live = self._live(p, dictionary)
-        at, low, near = p.gaps(live)
-        size = len(p.data)
-        code = self.answers[2][_find(parse, p.suffixes(at))] if len(at) else np.zeros(0, np.uint8)
-        settled = _cover(size, low[at], p.triggers[at], (code == SETTLED) | (code == PARTNER))
-        wanted = _cover(size, near[at], p.triggers[at], (code == PARTNER) | (code == OPEN))
-        close = _cover(size, near, p.triggers, np.ones(len(near), bool))
-        return np.flatnonzero(live & (wanted | ~close)), settled & p.fits
+    def codes(self, step: int) -> list[np.ndarray]:
+        """The answers of an exchange to the entries of each portion."""
+        self.entries(step)
+        return [self.answers[step][place] if len(place) else np.zeros(0, np.uint8) for place in self._places[step]]
+
+    def _collect(self, step: int) -> None:
+        found, width = [], {1: 1, 2: 3, 3: 2}[step]
+        told = self.codes(step - 1) if step > 1 else [None] * len(self.parsed)
+        for p, code in zip(self.parsed, told):
+            if step == 1:
+                found.append(p.phrases()[:, None])
+            elif step == 2:
+                p.live = p.alive(code > 0)
+                p.gaps = p.find_gaps(p.live)
+                found.append(p.suffixes(p.gaps[0]))
+            else:
+                p.open, p.settled = p.unsettled(code)
+                found.append(p.windows(p.open))
+            p.release()
+        rows, again, place = _counted(np.concatenate([np.zeros((0, width), np.uint64), *found]))
+        self._entries[step] = rows, again
+        self._places[step] = np.split(place, np.cumsum([len(x) for x in found])[:-1]) if found else []
 
 
 def _cover(size: int, low: np.ndarray, high: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    change = np.zeros(size + 1, np.int64)
-    np.add.at(change, low[chosen], 1)
-    np.add.at(change, high[chosen] + 1, -1)
-    return np.cumsum(change[:-1]) > 0
+    """Which places lie in one of the chosen spans; no two begin or end at the same place."""
+    change = np.zeros(size + 1, np.int32)
+    change[low[chosen]] += 1
+    change[high[chosen] + 1] -= 1
+    return np.cumsum(change[:-1], dtype=np.int32) > 0
 
 
 def _send(step: int, least: int, buckets: int):
@@ -236,7 +261,7 @@ def _send(step: int, least: int, buckets: int):
         if not docs.num_rows:
             return pa.table({"block": pa.array([], pa.int64()), "bucket": pa.array([], pa.int32()), "names": pa.array([], pa.binary()), "again": pa.array([], pa.binary())})
         block = docs.column("block")[0].as_py()
-        rows, again = _Block(docs, answers, least, buckets).entries(step)
+        rows, again = _Block(docs, answers, least).entries(step)
         cuts = _slices(rows, buckets)
         used = [i for i in range(buckets) if cuts[i] < cuts[i + 1]]
         return pa.table(
@@ -260,16 +285,15 @@ def _answer(step: int, width: int):
         held = table.column("names").to_pylist()
         rows = np.frombuffer(b"".join(held), np.uint64).reshape(-1, width)
         again = np.frombuffer(b"".join(table.column("again").to_pylist()), np.bool_)
-        order = np.lexsort(rows.T[::-1])
-        ordered = rows[order]
-        head = np.flatnonzero(np.r_[True, (ordered[1:] != ordered[:-1]).any(axis=1)][: len(rows)])
+        order, new = _ordered(rows)
+        head = np.flatnonzero(new)
         sizes = np.diff(np.r_[head, len(rows)])
         repeats = (sizes > 1) | (np.add.reduceat(again[order].astype(np.int64), head) > 0)
         codes = np.empty(len(rows), np.uint8)
         if step == 2:
-            whole = ordered[head][:, 1] > 0
-            solved = whole & repeats
-            group = np.cumsum(np.r_[True, ordered[head][1:, 0] != ordered[head][:-1, 0]]) - 1
+            entry = rows[order[head]]
+            solved = (entry[:, 1] > 0) & repeats
+            group = np.unique(entry[:, 0], return_inverse=True)[1]
             unsolved = np.bincount(group, ~solved) > 0
             company = np.bincount(group, np.where(repeats, 2, 1)) > 1
             code = np.where(solved, np.where(unsolved[group], PARTNER, SETTLED), np.where(company[group], OPEN, DEAD))
@@ -289,18 +313,13 @@ def _answer(step: int, width: int):
     return answer
 
 
-def _finish(least: int, buckets: int):
+def _finish(least: int):
     def finish(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        block = _Block(docs, answers, least, buckets)
-        dictionary = block.entries(1)[0]
-        parse = block.entries(2)[0]
-        suffixes = block.entries(3)[0]
+        block = _Block(docs, answers, least)
         out = []
-        for part, p in block.parsed():
-            at, repeats = block._open(p, dictionary, parse)
-            if len(at):
-                found = block.answers[3][_find(suffixes, p.windows(at))] > 0
-                repeats[at[found]] = True
+        for code, part, p in zip(block.codes(3), block.tables, block.parsed):
+            repeats = p.settled
+            repeats[p.open[code > 0]] = True
             starts = np.flatnonzero(repeats)
             gone = _cover(len(p.data), starts, starts + least - 1, np.ones(len(starts), bool))
             out.append(_rows(part, p, gone))
@@ -353,7 +372,7 @@ def remove_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """
     spark = with_package(docs.sparkSession)
     parts = shuffle_partitions(spark)
-    blocks, buckets = BLOCKS_PER_PARTITION * parts, parts
+    blocks, buckets = BLOCKS_PER_PARTITION * parts, -(-parts // 4)
     text_hash = F.xxhash64("doc_id", F.xxhash64("text"))
     dealt = docs.select("doc_id", "text", F.pmod(text_hash, F.lit(blocks)).cast("long").alias("block"))
     by_block = dealt.groupBy("block")
@@ -370,4 +389,4 @@ def remove_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
         answers = answer if answers is None else answers.unionByName(answer)
     id_type = dict(docs.dtypes)["doc_id"]
     made = f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"
-    return by_block.cogroup(answers.groupBy("block")).applyInArrow(_finish(least, buckets), made)
+    return by_block.cogroup(answers.groupBy("block")).applyInArrow(_finish(least), made)

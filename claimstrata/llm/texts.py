@@ -86,7 +86,7 @@ def word_spans(
 def mix(values: np.ndarray) -> np.ndarray:
     """A fixed permutation of 64-bit numbers that spreads every bit."""
     values = values ^ (values >> np.uint64(32))
-    values = values * np.uint64(0xD6E8FEB86659FD93)
+    values *= np.uint64(0xD6E8FEB86659FD93)
     values ^= values >> np.uint64(32)
     values *= np.uint64(0xD6E8FEB86659FD93)
     values ^= values >> np.uint64(32)
@@ -123,6 +123,15 @@ class Names:
         np.cumsum(self.values[data] * self.powers[: len(data)], out=total[1:])
         return total
 
+    def every(self, sums: np.ndarray, size: int) -> np.ndarray:
+        """The names of all spans of one size, wherever they start."""
+        if len(sums) <= size:
+            return np.zeros(0, np.uint64)
+        raw = sums[size:] - sums[:-size]
+        raw *= self.inverse[: len(raw)]
+        raw += np.uint64(size * 0x9E3779B97F4A7C15 % (1 << 64))
+        return mix(raw)
+
     def of(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         raw = (sums[ends] - sums[starts]) * self.inverse[starts]
         return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
