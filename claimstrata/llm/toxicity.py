@@ -32,8 +32,8 @@ BUCKETS = 1 << 14
 class Training:
     """``rows`` labelled texts of each class, of at most ``text_bytes`` bytes, train the network."""
 
-    rows: int = 2000
-    text_bytes: int = 16_384
+    rows: int = 1500
+    text_bytes: int = 8_192
     window: int = 48
     stride: int = 36
     rounds: int = 6
@@ -255,10 +255,13 @@ def fit(column: pa.Array, toxic: np.ndarray, prior: float, plan: Training) -> Ne
     owner = np.repeat(np.arange(len(toxic)), np.diff(words.first))
     odds, rows = _odds((owner, words.ids), toxic, max(1, len(words.names)))
     known = np.flatnonzero(rows[: len(words.names)] >= plan.least_rows)
-    reps = words.piece_count[words.ids]
     heads = np.cumsum(words.piece_count) - words.piece_count
-    where = np.repeat(heads[words.ids] - np.cumsum(reps) + reps, reps) + np.arange(reps.sum())
-    piece_odds, _ = _odds((np.repeat(owner, reps), words.pieces[where]), toxic, BUCKETS)
+    held = np.unique(owner * np.int64(max(1, len(words.names))) + words.ids)
+    who, which = held // max(1, len(words.names)), held % max(1, len(words.names))
+    reps = words.piece_count[which]
+    where = np.repeat(heads[which] - np.cumsum(reps) + reps, reps) + np.arange(reps.sum())
+    piece_odds, _ = _odds((np.repeat(who, reps), words.pieces[where]), toxic, BUCKETS)
+    del held, who, which, where
     net = Network(words.names[known], odds[known], piece_odds, plan.seed)
     numbers = net.numbers(words.names)
 
