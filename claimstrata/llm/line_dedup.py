@@ -19,6 +19,9 @@ LEAST_WORDS = 5
 RARITY_BUCKETS = 1 << 16
 _OTHER_BLANKS = "\t\n\x0b\x0c\r"
 _HASH_BITS = 58
+# Similar lines meet on so many words or more, with prefixes that much longer:
+# bitmaps tell lines of some dozens of words apart, more meetings longer ones.
+_MEETINGS = "(1 + int(greatest(n - 40, 0) div 16))"
 _LEVELS = 31
 
 
@@ -102,7 +105,7 @@ def _index(classes: DataFrame, levels: Column, buckets: int) -> DataFrame:
     bits = F.expr("coalesce(aggregate(keys, 0L, (b, k) -> b | shiftleft(1L, int(k & 63))), 0L)")
     # Lines of too few words have no prefix; a filter would make the keys twice.
     few = f"n < {LEAST_WORDS} OR copies < 1 OR NOT one"
-    prefix = F.expr(f"slice(keys, 1, IF({few}, 0, n - int((4 * n + 4) div 5) + 1))")
+    prefix = F.expr(f"slice(keys, 1, IF({few}, 0, least(n, n - int((4 * n + 4) div 5) + {_MEETINGS})))")
     rows = sized.select(
         "h", "best.id", "best.line_no", "n", bits.alias("bits"), F.posexplode(prefix).alias("at", "key")
     )
@@ -137,17 +140,22 @@ def _repeating(classes: DataFrame, levels: Column, buckets: int) -> DataFrame:
         x, y = rows.alias("x"), index.alias("y")
         a, b = F.col("x.of"), F.col("y.of")
         meet = (F.col("x.key") == F.col("y.key")) & (b < a) & (a["h"] != b["h"]) & _allow(a, b)
-        return x.join(y, meet).select(a["h"].alias("h"), b["h"].alias("o"), _differ(a, b).alias("differ"))
+        met = x.join(y, meet)
+        return met.select(
+            a["h"].alias("h"), b["h"].alias("o"), _differ(a, b).alias("differ"), F.least(a["n"], b["n"]).alias("n")
+        )
 
     leading = later.where(near_first).select(
         F.col("of.h").alias("h"), F.col("first.h").alias("o"), _differ(F.col("of"), F.col("first")).alias("differ")
     )
-    tried = leading.unionByName(others(later.where(~near_first)))
+    tried = leading.unionByName(others(later.where(~near_first)).drop("n"))
     closest = tried.groupBy("h").agg(F.min(F.struct("differ", "o")).alias("c")).select("h", "c.o")
     judged = _confirmed(closest, classes)
     again = judged.where("NOT alike").select("h")
-    every = others(later.join(again, F.col("of.h") == F.col("h"), "left_semi")).select("h", "o").distinct()
-    rest = _confirmed(every, classes).where("alike").select("h").distinct()
+    open_lines = _index(classes.join(again, "h", "left_semi"), levels, buckets)
+    every = others(open_lines).groupBy("h", "o").agg(F.count(F.lit(1)).alias("met"), F.min("n").alias("n"))
+    rest = _confirmed(every.where(f"met >= {_MEETINGS}").select("h", "o"), classes)
+    rest = rest.where("alike").select("h").distinct()
     return judged.where("alike").select("h").unionByName(rest)
 
 
