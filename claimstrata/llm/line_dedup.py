@@ -100,15 +100,17 @@ def _index(classes: DataFrame, levels: Column, buckets: int) -> DataFrame:
     ``of`` is one struct that orders lines by their place, so that every use
     of the index takes the same two columns and Spark shuffles it once.
     """
-    keyed = classes.select("h", "best", "copies", "one", _keys(F.col("best.line"), levels, buckets).alias("keys"))
+    # The line itself must not stand beside each of its words.
+    keyed = classes.select(
+        "h", "best.id", "best.line_no", "copies", "one", _keys(F.col("best.line"), levels, buckets).alias("keys")
+    )
     sized = keyed.withColumn("n", F.coalesce(F.size("keys"), F.lit(0)))
     bits = F.expr("coalesce(aggregate(keys, 0L, (b, k) -> b | shiftleft(1L, int(k & 63))), 0L)")
     # Lines of too few words have no prefix; a filter would make the keys twice.
     few = f"n < {LEAST_WORDS} OR copies < 1 OR NOT one"
     prefix = F.expr(f"slice(keys, 1, IF({few}, 0, least(n, n - int((4 * n + 4) div 5) + {_MEETINGS})))")
-    rows = sized.select(
-        "h", "best.id", "best.line_no", "n", bits.alias("bits"), F.posexplode(prefix).alias("at", "key")
-    )
+    short = sized.select("h", "id", "line_no", "n", bits.alias("bits"), prefix.alias("prefix"))
+    rows = short.select("h", "id", "line_no", "n", "bits", F.posexplode("prefix").alias("at", "key"))
     return rows.select("key", F.struct("id", "line_no", "h", "n", "at", "bits").alias("of"))
 
 

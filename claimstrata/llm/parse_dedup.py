@@ -39,9 +39,6 @@ from claimstrata.llm.texts import PORTION_BYTES, byte_view, names
 LEAST = 200
 TRIGGER = 12
 MEAN_PHRASE = 24
-# Bytes after a trigger that name its neighbourhood. Windows that start
-# farther before their first trigger are compared one by one.
-NEAR = 100
 BLOCKS_PER_PARTITION = 3
 
 _SEEDS = (51, 52)
@@ -62,6 +59,9 @@ class Parsed:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, least: int) -> None:
         self.data, self.offsets, self.least = data, offsets, least
+        # Bytes after a trigger that name its neighbourhood. Windows that start
+        # farther before their first trigger are compared one by one.
+        self.reach = least // 2
         self.namers = [names(seed) for seed in _SEEDS]
         self.sums: dict[int, np.ndarray] = {}
         size = len(data)
@@ -117,7 +117,7 @@ class Parsed:
     def find_gaps(self, live: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The triggers that are the first of a live window near by, and where those windows begin."""
         low = np.where(self.after_first, self.before + 1, self.begin)
-        near = np.maximum(low, self.triggers - NEAR)
+        near = np.maximum(low, self.triggers - self.reach)
         total = np.zeros(len(live) + 1, np.int32)
         np.cumsum(live, out=total[1:], dtype=np.int32)
         return np.flatnonzero(total[np.minimum(self.triggers + 1, len(live))] > total[near]), low, near
@@ -126,7 +126,7 @@ class Parsed:
         """Per gap: the name after its trigger, and the name of phrase and parse suffix (0 if cut)."""
         trigger = self.triggers[at]
         entry = np.zeros((len(at), 3), np.uint64)
-        entry[:, 0] = self.named(0, trigger, trigger + NEAR)
+        entry[:, 0] = self.named(0, trigger, trigger + self.reach)
         whole = np.flatnonzero(self.after_first[at] & (trigger + self.least <= self.end[at]))
         start, end = self.before[at][whole], trigger[whole] + self.least
         for i in (0, 1):
@@ -370,6 +370,8 @@ def remove_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
     What a name stands for is decided by 128 bits (phrases that occur once by
     64, where an equal name only costs work).
     """
+    if least < 2 * TRIGGER:
+        raise ValueError(f"least must be {2 * TRIGGER} or more")
     spark = with_package(docs.sparkSession)
     parts = shuffle_partitions(spark)
     blocks, buckets = BLOCKS_PER_PARTITION * parts, -(-parts // 4)

@@ -92,7 +92,7 @@ class Merger:
         ends = np.cumsum(lengths) - 1
         symbols[ends] = self.last[raw[ends]]
         owner = np.repeat(np.arange(len(sequences)), lengths)
-        while len(symbols) > 1:
+        while len(symbols):
             ranks = self.rank(symbols[:-1] * self.size + symbols[1:])
             ranks[owner[1:] != owner[:-1]] = _NO_RANK
             ranks = np.r_[ranks, _NO_RANK]
