@@ -63,22 +63,26 @@ docs AS (
 
 
 def _claim(position: str) -> str:
-    """The decoded claim at a position: NULL for a missing or a bad number."""
+    """The decoded claim at a position: NULL for a missing number, whole for one with a fraction."""
     return f"""
-        CASE WHEN (l_partkey + {position}) % 19 = 0 OR (l_partkey + {position}) % 23 = 0 THEN NULL
+        CASE WHEN (l_partkey + {position}) % 19 = 0 THEN NULL
              ELSE CAST(floor(l_extendedprice / {position}) AS INTEGER) END"""
 
 
-def _claim_text(position: int) -> str:
+def _claim_text(position: str) -> str:
     """The claim text at a position of the array, as it stands in the document."""
     return f"""
-        CASE WHEN l_linenumber NOT BETWEEN {position} AND 5 THEN NULL
-             WHEN (l_partkey + {position}) % 19 = 0 THEN NULL
+        CASE WHEN (l_partkey + {position}) % 19 = 0 THEN NULL
              WHEN (l_partkey + {position}) % 23 = 0
              THEN CAST(floor(l_extendedprice / {position}) AS BIGINT) || '.5'
              ELSE CAST(CAST(floor(l_extendedprice / {position}) AS BIGINT) AS VARCHAR) END"""
 
 
+# A row per position of the array, or one without position.
+_POSITIONS = """
+docs LEFT JOIN (VALUES (1), (2), (3), (4), (5)) AS positions(i)
+  ON i <= l_linenumber AND l_linenumber <= 5"""
+
 _SLOTS = """
     CASE WHEN l_linenumber <= 5 THEN CAST(l_linenumber AS INTEGER)
          WHEN l_linenumber = 6 THEN 0 END"""
@@ -180,21 +184,19 @@ SELECT to_hex(l_orderkey) || '-' || l_linenumber AS oid,
        CAST(l_orderkey AS VARCHAR) AS revenue_id, revenue_date,
        CAST(revenue_amt AS VARCHAR) AS revenue_amt,
        {_SLOTS} AS claim_slots,
-       {_claim_text(1)} AS claim_1,
-       {_claim_text(5)} AS claim_5,
+       CAST(i - 1 AS INTEGER) AS position,
+       CASE WHEN i IS NOT NULL THEN {_claim_text("i")} END AS claim,
        "date", CAST("day" AS VARCHAR) AS "day", CAST("month" AS VARCHAR) AS "month",
        CAST("year" AS VARCHAR) AS "year", day_type, pan_number, aadhaar_number, injection_date
-FROM docs""",
+FROM {_POSITIONS}""",
     "flatten_wire": f"""
 WITH {_DOCS}
 SELECT * EXCLUDE (sale_day, l_orderkey, l_partkey, l_linenumber, l_extendedprice) FROM docs""",
     "unwrap_array": f"""
 WITH {_DOCS}
-SELECT revenue_id, customer_code, {_SLOTS} AS claim_slots,
-       {", ".join(
-           f"CASE WHEN l_linenumber BETWEEN {i} AND 5 THEN {_claim(str(i))} END AS claim_{i}"
-           for i in range(1, 6))}
-FROM docs""",
+SELECT revenue_id, customer_code, {_SLOTS} AS claim_slots, CAST(i - 1 AS INTEGER) AS position,
+       CASE WHEN i IS NOT NULL THEN {_claim("i")} END AS claim
+FROM {_POSITIONS}""",
     "explode_claims": f"""{_BRONZE}
 SELECT revenue_id, customer_code, policy_id, sale_date, claim_amount FROM bronze""",
     "mask_fields": f"""
@@ -249,9 +251,22 @@ UNION ALL SELECT 'bronze', count(*) FROM bronze
 UNION ALL SELECT 'silver', count(*) FROM silver
 UNION ALL SELECT 'policy_metrics', count(*) FROM metrics
 UNION ALL SELECT 'claim_policy', count(*) FROM bronze
-UNION ALL SELECT 'age_group', count(DISTINCT age_group) FROM bronze
-UNION ALL SELECT 'acquisition_channel', count(DISTINCT acquisition_channel) FROM bronze
+UNION ALL SELECT 'age_group', count(*) FROM (SELECT DISTINCT age_group FROM bronze)
+UNION ALL SELECT 'acquisition_channel', count(*) FROM (
+  SELECT DISTINCT acquisition_channel FROM bronze)
+UNION ALL SELECT 'monthly_revenue', count(*) FROM (
+  SELECT DISTINCT year(sale_day), month(sale_day) FROM bronze)
 UNION ALL SELECT 'march_data', count(*) FROM (
   SELECT DISTINCT year(sale_day), month(sale_day) FROM bronze
   WHERE year(sale_day) = 1998 AND month(sale_day) = 3)""",
 }
+
+# What a whole run stores, read back, is what the queries of its parts give.
+ORACLES |= {
+    "published_silver": ORACLES["silver"],
+    "published_claim_policy": ORACLES["enrich_rows"],
+    "published_age_group": ORACLES["dist_age_group"],
+    "published_channel": ORACLES["dist_channel"],
+    "published_march": ORACLES["monthly_slice"],
+    "published_monthly": ORACLES["monthly_revenue"],
+}

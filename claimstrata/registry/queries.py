@@ -27,6 +27,7 @@ AS_OF = dt.date(2024, 7, 1)
 YEAR, MONTH = 1998, 3
 
 _stored: dict[tuple[str, str, str], str] = {}
+_runs: dict[tuple[str, str], plans.Layers] = {}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,7 +46,7 @@ def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], ob
 
 def _use_all_cores(df: DataFrame) -> DataFrame:
     """A table stored in very few pieces, dealt out to more tasks; others as they are."""
-    tasks = min(df.sparkSession.sparkContext.defaultParallelism, 64)
+    tasks = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
 
 
@@ -91,7 +92,9 @@ def _store_metrics(spark: SparkSession, rows: DataFrame) -> DataFrame:
 
 def read_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = "$numberInt"
-    return wire(spark, sf_dir).select(
+    rows = wire(spark, sf_dir)
+    each = rows.select("*", F.posexplode_outer("claims").alias("position", "claim"))
+    return each.select(
         F.col("_id.$oid").alias("oid"),
         F.col(f"customer_code.{number}").alias("customer_code"),
         F.col(f"age.{number}").alias("age"),
@@ -109,8 +112,8 @@ def read_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("revenue.revenue_date").alias("revenue_date"),
         F.col(f"revenue.revenue_amt.{number}").alias("revenue_amt"),
         F.array_size("claims").alias("claim_slots"),
-        F.get("claims", F.lit(0))[number].alias("claim_1"),
-        F.get("claims", F.lit(4))[number].alias("claim_5"),
+        "position",
+        F.col(f"claim.{number}").alias("claim"),
         "date",
         F.col(f"day.{number}").alias("day"),
         F.col(f"month.{number}").alias("month"),
@@ -128,10 +131,9 @@ def flatten_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unwrap_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = ops.flatten(wire(spark, sf_dir))
-    slots = [F.get("claims", F.lit(i)).alias(f"claim_{i + 1}") for i in range(5)]
-    return flat.select(
-        "revenue_id", "customer_code", F.array_size("claims").alias("claim_slots"), *slots
-    )
+    slots = F.array_size("claims").alias("claim_slots")
+    each = F.posexplode_outer("claims").alias("position", "claim")
+    return flat.select("revenue_id", "customer_code", slots, each)
 
 
 def explode_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,14 +252,29 @@ def csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The whole run.
 
 
-def published_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of every layer that one whole run stores."""
+def _run(spark: SparkSession, sf_dir: str) -> plans.Layers:
     wire(spark, sf_dir)
     source = _stored[(spark.sparkContext.applicationId, sf_dir.rstrip("/"), "wire")]
-    layers = plans.publish(spark, source, new_folder(spark, "run"), AS_OF, (YEAR, MONTH))
+    return plans.publish(spark, source, new_folder(spark, "run"), AS_OF, (YEAR, MONTH))
+
+
+def _published(name: str) -> Query:
+    """What one whole run stored under a name."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        if key not in _runs:
+            _runs[key] = _run(spark, sf_dir)
+        return _runs[key][name]
+
+    return query
+
+
+def published_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every layer that one whole run stores."""
     counts = [
         df.select(F.lit(name).alias("layer")).groupBy("layer").agg(F.count(F.lit(1)).alias("n"))
-        for name, df in layers.stored.items()
+        for name, df in _run(spark, sf_dir).stored.items()
     ]
     result = counts[0]
     for frame in counts[1:]:
@@ -296,4 +313,10 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": csv_roundtrip,
     "csv_rows": csv_rows,
     "published_rows": published_rows,
+    "published_silver": _published("silver"),
+    "published_claim_policy": _published("claim_policy"),
+    "published_age_group": _published("age_group"),
+    "published_channel": _published("acquisition_channel"),
+    "published_march": _published("march_data"),
+    "published_monthly": _published("monthly_revenue"),
 }

@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 JSON_SPLIT_BYTES = 256 * 1024**2
 JSON_BYTES_PER_PARTITION = 2 * 1024**3
-ADVISORY_BYTES = 256 * 1024**2
+ADVISORY_BYTES = 64 * 1024**2
+# Compared with compressed bytes of a partition; the table in memory is several
+# times larger, cannot spill, and an executor builds one per task. Spark asks
+# that it is not below the advisory size.
+HASH_JOIN_BYTES = ADVISORY_BYTES
 _SPLITS = "spark.sql.files.maxPartitionBytes"
 
 
@@ -28,16 +32,28 @@ def settings_for(input_bytes: int) -> dict[str, str]:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(ADVISORY_BYTES),
-        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(ADVISORY_BYTES),
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(HASH_JOIN_BYTES),
         _SPLITS: str(JSON_SPLIT_BYTES),
     }
 
 
+def _bytes(setting: str) -> int:
+    """A size setting such as ``134217728b`` or ``16m`` in bytes."""
+    text = setting.strip().lower().removesuffix("b")
+    unit = {"k": 1024, "m": 1024**2, "g": 1024**3, "t": 1024**4}.get(text[-1:], 1)
+    return int(text.rstrip("kmgt")) * unit
+
+
+def source_bytes(df: DataFrame) -> int:
+    """The size of a frame's files as the planned scan knows it."""
+    return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
+
+
 @contextmanager
 def scan_splits(spark: SparkSession, size: int) -> Iterator[None]:
     """Plan file scans inside the ``with`` block with splits of at most ``size`` bytes."""
     before = spark.conf.get(_SPLITS)
-    spark.conf.set(_SPLITS, str(size))
+    spark.conf.set(_SPLITS, str(min(size, _bytes(before))))
     try:
         yield
     finally:

@@ -22,9 +22,11 @@ def shared_folder(spark: SparkSession) -> str:
     machine-local folder would be lost with its machine.
     """
     folder = spark.conf.get(_SETTING, None)
+    context = spark.sparkContext
     if folder:
+        if folder.startswith("file:") and not context.master.startswith("local"):
+            raise RuntimeError(f"{_SETTING} names a machine's own folder: {folder}")
         return folder.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
     if context.applicationId not in _local_folders:

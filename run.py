@@ -13,7 +13,8 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from claimstrata.plans import Layers, export_csv, publish
-from claimstrata.session import settings_for
+from claimstrata.session import settings_for, source_bytes
+from claimstrata.sources import read_documents
 
 
 def parse(arguments: list[str] | None = None) -> argparse.Namespace:
@@ -26,14 +27,16 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     )
     parser.add_argument("--month", default="2023-03", help="sale month of the slice, as yyyy-mm")
     parser.add_argument("--gold-from", choices=("bronze", "silver"), default="bronze")
-    parser.add_argument("--input-bytes", type=int, help="size of the source, to size shuffles by")
+    parser.add_argument("--input-bytes", type=int, help="size of the source, by default that of its files")
     return parser.parse_args(arguments)
 
 
 def run(spark: SparkSession, options: argparse.Namespace) -> Layers:
-    if options.input_bytes is not None:
-        for key, value in settings_for(options.input_bytes).items():
-            spark.conf.set(key, value)
+    size = options.input_bytes
+    if size is None:
+        size = source_bytes(read_documents(spark, options.source))
+    for key, value in settings_for(size).items():
+        spark.conf.set(key, value)
     year, month = map(int, options.month.split("-"))
     layers = publish(
         spark, options.source, options.target, options.as_of, (year, month), options.gold_from

@@ -3,10 +3,11 @@
 import pytest
 
 from claimstrata.registry import queries
-from claimstrata.session import scan_splits, settings_for
+from claimstrata.session import scan_splits, settings_for, source_bytes
 
 SF_DIR = "/root/testdata/sf0.001"
 EAGER = {"checkpoint_bronze", "csv_roundtrip", "csv_rows", "published_rows"}
+EAGER |= {name for name in queries.QUERIES if name.startswith("published_")}
 
 
 def plan(df):
@@ -18,6 +19,8 @@ def test_no_python_cross_join_or_single_task_shuffle(spark, name):
     text = plan(queries.QUERIES[name](spark, SF_DIR))
     for word in ("Python", "Pandas", "CartesianProduct", "NestedLoopJoin", "Window"):
         assert word not in text
+    # Only the partial counts of the customers meet in one task.
+    assert text.count("SinglePartition") == (name == "total_customers")
 
 
 def test_bronze_is_one_generated_stage_without_shuffle(spark):
@@ -76,10 +79,19 @@ def test_scan_splits_are_put_back(spark):
     before = spark.conf.get(key)
     with pytest.raises(ValueError), scan_splits(spark, 1024):
         assert spark.conf.get(key) == "1024"
+        with scan_splits(spark, 1024**3):  # does not raise what the deployment has
+            assert spark.conf.get(key) == "1024"
         raise ValueError
     assert spark.conf.get(key) == before
 
 
+def test_shuffle_follows_the_source(spark, tmp_path):
+    for rows in (10, 1000):
+        spark.range(rows).write.json(str(tmp_path / str(rows)))
+    small, large = (source_bytes(spark.read.json(str(tmp_path / str(n)))) for n in (10, 1000))
+    assert 0 < small < large
+
+
 def test_large_metrics_are_joined_without_sorting_under_the_settings(spark, settings):
     with settings({**settings_for(1), "spark.sql.autoBroadcastJoinThreshold": "-1"}):
         rows = queries.enrich_policy_metrics(spark, SF_DIR)
