@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 LEAST_WORDS = 5
-RARITY_BUCKETS = 1 << 16
+RARITY_BUCKETS = 1 << 13
 _OTHER_BLANKS = "\t\n\x0b\x0c\r"
 _HASH_BITS = 58
 # Similar lines meet on so many words or more, with prefixes that much longer:
@@ -109,6 +109,7 @@ def _index(classes: DataFrame, levels: Column, buckets: int) -> DataFrame:
     # Lines of too few words have no prefix; a filter would make the keys twice.
     few = f"n < {LEAST_WORDS} OR copies < 1 OR NOT one"
     prefix = F.expr(f"slice(keys, 1, IF({few}, 0, least(n, n - int((4 * n + 4) div 5) + {_MEETINGS})))")
+    # Nor may all its words stand beside each of them.
     short = sized.select("h", "id", "line_no", "n", bits.alias("bits"), prefix.alias("prefix"))
     rows = short.select("h", "id", "line_no", "n", "bits", F.posexplode("prefix").alias("at", "key"))
     return rows.select("key", F.struct("id", "line_no", "h", "n", "at", "bits").alias("of"))
@@ -199,7 +200,7 @@ def line_figures(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> DataFrame:
 
     Equal lines are one class after a grouping with partial results, so a line
     of a third of all rows costs one row per task. Rarity comes from a count
-    over all texts in ``buckets`` classes of words (64 K in the plan). No candidate is
+    over all texts in ``buckets`` classes of words (8 K in the plan). No candidate is
     capped, and groups of similar lines are not paired up in full.
     """
     gone = removed_lines(docs, buckets).distinct().groupBy("id", "th").agg(
