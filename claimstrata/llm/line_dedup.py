@@ -1,10 +1,12 @@
 """Line deduplication by an exact set-similarity join, in DataFrame functions.
 
-A line is the set of its words. Words are ordered by rarity, so two lines whose
-Jaccard similarity reaches 0.8 share a word among the first fifth (and one) of
-either. Lines meet on those words if their lengths, the positions of the common
-word and a bitmap of their words allow the similarity; the words of the pairs
-that are left are compared in full.
+A line is the set of its words, ordered by rarity. Two lines of Jaccard
+similarity 0.8 or more share a word among the first fifth (and one) of either.
+If their first common word is rare, they meet on it. If not, all their common
+words are frequent, and they meet on two that follow each other in both lines,
+within the first two fifths. Lines that meet are compared in full if their
+lengths, the positions of what they share and a bitmap of their words allow
+the similarity.
 """
 
 from __future__ import annotations
@@ -16,13 +18,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 LEAST_WORDS = 5
-RARITY_BUCKETS = 1 << 13
+RARITY_BUCKETS = 1 << 17
 _OTHER_BLANKS = "\t\n\x0b\x0c\r"
 _HASH_BITS = 58
-# Similar lines meet on so many words or more, with prefixes that much longer:
-# bitmaps tell lines of some dozens of words apart, more meetings longer ones.
-_MEETINGS = "(1 + int(greatest(n - 40, 0) div 16))"
 _LEVELS = 31
+# Words of a bucket with fewer than 255 occurrences are rare.
+_RARE_LEVEL = 8
+# So many lines under one key may lead others; the rest are joined.
+_LEADERS = 2
+# Lines are ordered by these; the first three decide.
+_PLACE = ("id", "line_no", "h", "n", "at", "low", "high")
 
 
 def _words(text: Column) -> Column:
@@ -82,8 +87,8 @@ def _identity(lines: DataFrame) -> DataFrame:
 
 
 def _differ(a: Column, b: Column) -> Column:
-    """At least so many words are in one of two lines only."""
-    return F.bit_count(a["bits"].bitwiseXOR(b["bits"]))
+    """At least so many words are in one of two lines only: each turns one bit."""
+    return F.bit_count(a["low"].bitwiseXOR(b["low"])) + F.bit_count(a["high"].bitwiseXOR(b["high"]))
 
 
 def _allow(a: Column, b: Column) -> Column:
@@ -95,24 +100,41 @@ def _allow(a: Column, b: Column) -> Column:
 
 
 def _index(classes: DataFrame, levels: Column, buckets: int) -> DataFrame:
-    """``key, of``: a row for each of the words of a line on which similar lines must meet.
-
-    ``of`` is one struct that orders lines by their place, so that every use
-    of the index takes the same two columns and Spark shuffles it once.
+    """``key`` and the columns of ``_PLACE``: a row for each key on which similar lines must meet.
+
+    Let x have n words, a of them not in y, and y have b others. Jaccard 0.8
+    means a + 0.8 b <= 0.2 n, so the first common word has a position (from 0)
+    of at most n div 5. If it is rare it is a key of both lines. If not, the r
+    rare words of x, and those of y, are all on one side only. Each of the
+    a + b words on one side only can stand between at most one pair of
+    successive common words, and the rare ones stand before all of them. So
+    one of the first a + b - r + 1 such pairs has no word between it in either
+    line, and its first word has a position of at most 2a + b - r. The largest
+    2a + b is 2 (n div 5), and one more where n leaves a rest of 4. Hence the
+    keys: the rare words up to position n div 5, and if there are no more than
+    n div 5 of them, the pairs of neighbours from position r to that bound less r.
     """
+    line = [name for name in _PLACE if name != "at"]
     # The line itself must not stand beside each of its words.
     keyed = classes.select(
         "h", "best.id", "best.line_no", "copies", "one", _keys(F.col("best.line"), levels, buckets).alias("keys")
     )
     sized = keyed.withColumn("n", F.coalesce(F.size("keys"), F.lit(0)))
-    bits = F.expr("coalesce(aggregate(keys, 0L, (b, k) -> b | shiftleft(1L, int(k & 63))), 0L)")
+    # Bits turned once for each word, so that long lines do not end with all bits set.
+    turned = "coalesce(aggregate(keys, 0L, (b, k) -> IF((k & 64) = {}, b ^ shiftleft(1L, int(k & 63)), b)), 0L)"
+    bits = {"low": F.expr(turned.format(0)), "high": F.expr(turned.format(64))}
     # Lines of too few words have no prefix; a filter would make the keys twice.
     few = f"n < {LEAST_WORDS} OR copies < 1 OR NOT one"
-    prefix = F.expr(f"slice(keys, 1, IF({few}, 0, least(n, n - int((4 * n + 4) div 5) + {_MEETINGS})))")
+    reach = "2 * int(n div 5) + int(n % 5 = 4) + 2"
+    prefix = F.expr(f"slice(keys, 1, IF({few}, 0, least(n, {reach})))")
     # Nor may all its words stand beside each of them.
-    short = sized.select("h", "id", "line_no", "n", bits.alias("bits"), prefix.alias("prefix"))
-    rows = short.select("h", "id", "line_no", "n", "bits", F.posexplode("prefix").alias("at", "key"))
-    return rows.select("key", F.struct("id", "line_no", "h", "n", "at", "bits").alias("of"))
+    short = sized.withColumns(bits | {"prefix": prefix}).select(*line, "prefix")
+    rare = F.expr(f"size(filter(slice(prefix, 1, int(n div 5) + 1), k -> k < {_RARE_LEVEL << _HASH_BITS}L))")
+    short = short.withColumn("r", rare)
+    pairs = "IF(size(prefix) < 2 OR r > int(n div 5), 0, size(prefix) - 1 - 2 * r)"
+    follow = f"transform(slice(prefix, r + 1, {pairs}), (k, i) -> xxhash64(k, prefix[r + i + 1]))"
+    keys = F.expr(f"concat(slice(prefix, 1, r), {follow})")
+    return short.select(*line, F.posexplode(keys).alias("at", "key")).select("key", *_PLACE)
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -125,39 +147,66 @@ def _confirmed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.select("h", alike.alias("alike"))
 
 
+def _led(index: DataFrame) -> DataFrame:
+    """``key, of, o, differ``: of each row but a key's first the earlier line that leads it, if one does.
+
+    The earliest line leads those that may be similar to it, the earliest of
+    the others leads of those, and so on. All passes use one shuffle and one
+    sort.
+    """
+    by_place = Window.partitionBy("key").orderBy("id", "line_no", "h")
+    place = F.struct(*_PLACE)
+    # Plain columns first: a struct made here would be shuffled beside them.
+    rows = index.withColumns({f"first_{name}": F.first(name).over(by_place) for name in _PLACE})
+    rows = rows.withColumn("leader_0", F.struct(*(F.col(f"first_{name}").alias(name) for name in _PLACE)))
+    open_row, leader = F.lit(True), F.lit(None)
+    for turn in range(_LEADERS):
+        name = f"leader_{turn}"
+        if turn:
+            following = F.first(F.when(open_row, place), ignorenulls=True).over(by_place)
+            rows = rows.withColumn(name, following)
+        led = F.coalesce(_allow(place, F.col(name)), F.lit(False))
+        leader = F.coalesce(leader, F.when(led & (F.col(name)["h"] != F.col("h")), F.col(name)))
+        open_row = open_row & ~led
+    rows = rows.where("leader_0.h <> h").select("key", place.alias("of"), leader.alias("leader"))
+    return rows.select("key", "of", F.col("leader.h").alias("o"), _differ(F.col("of"), F.col("leader")).alias("differ"))
+
+
+def _candidates(rows: DataFrame, index: DataFrame) -> DataFrame:
+    """``h, o, differ``: the line that leads a row, or all earlier lines under its key that may be similar.
+
+    One join for both, and the index as it is, so that Spark shuffles it once.
+    """
+    x, y = rows.alias("x"), index.alias("y")
+    a, b = F.col("x.of"), {name: F.col(f"y.{name}") for name in _PLACE}
+    # Cheap comparisons of numbers come before that of places.
+    meet = F.col("x.o").isNull() & _allow(a, b) & (b["h"] != a["h"]) & (F.struct(*b.values()) < a)
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & meet, "left").select(
+        a["h"].alias("h"),
+        F.coalesce("x.o", b["h"]).alias("o"),
+        F.coalesce("x.differ", _differ(a, b)).alias("differ"),
+    )
+    return pairs.where("o IS NOT NULL")
+
+
 def _repeating(classes: DataFrame, levels: Column, buckets: int) -> DataFrame:
     """``h`` of the lines to which an earlier line is similar.
 
-    One earlier line is enough. A line is held against the earliest line under
-    each of its keys, and against the others under a key if the earliest
-    cannot be similar, so the members of a large group of variants are not all
-    paired up. Of these the one whose bitmap differs least is compared first;
-    lines that it does not settle meet all earlier ones.
+    One earlier line is enough. Under each key a line is held against the
+    line that leads it, so the members of a large group of variants are not
+    all paired up, and without one against all earlier lines. Of these
+    candidates the one whose bitmap differs least is compared; lines that it
+    does not settle meet all earlier ones.
     """
     index = _index(classes, levels, buckets)
-    led = index.withColumn("first", F.first("of").over(Window.partitionBy("key").orderBy("of")))
-    later = led.where((F.col("of.h") != F.col("first.h")) & (F.col("of") > F.col("first")))
-    near_first = _allow(F.col("of"), F.col("first"))
-
-    def others(rows: DataFrame) -> DataFrame:
-        x, y = rows.alias("x"), index.alias("y")
-        a, b = F.col("x.of"), F.col("y.of")
-        meet = (F.col("x.key") == F.col("y.key")) & (b < a) & (a["h"] != b["h"]) & _allow(a, b)
-        met = x.join(y, meet)
-        return met.select(
-            a["h"].alias("h"), b["h"].alias("o"), _differ(a, b).alias("differ"), F.least(a["n"], b["n"]).alias("n")
-        )
-
-    leading = later.where(near_first).select(
-        F.col("of.h").alias("h"), F.col("first.h").alias("o"), _differ(F.col("of"), F.col("first")).alias("differ")
-    )
-    tried = leading.unionByName(others(later.where(~near_first)).drop("n"))
-    closest = tried.groupBy("h").agg(F.min(F.struct("differ", "o")).alias("c")).select("h", "c.o")
+    found = _candidates(_led(index), index)
+    closest = found.groupBy("h").agg(F.min(F.struct("differ", "o")).alias("c")).select("h", "c.o")
     judged = _confirmed(closest, classes)
     again = judged.where("NOT alike").select("h")
     open_lines = _index(classes.join(again, "h", "left_semi"), levels, buckets)
-    every = others(open_lines).groupBy("h", "o").agg(F.count(F.lit(1)).alias("met"), F.min("n").alias("n"))
-    rest = _confirmed(every.where(f"met >= {_MEETINGS}").select("h", "o"), classes)
+    unled = {"o": F.lit(None).cast("long"), "differ": F.lit(None).cast("int")}
+    every = _candidates(open_lines.select("key", F.struct(*_PLACE).alias("of")).withColumns(unled), index)
+    rest = _confirmed(every.select("h", "o").distinct(), classes)
     rest = rest.where("alike").select("h").distinct()
     return judged.where("alike").select("h").unionByName(rest)
 
@@ -171,15 +220,17 @@ def removed_lines(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> DataFrame:
         F.count(F.lit(1)).alias("copies"),
         (F.min("check") == F.max("check")).alias("one"),
     )
-    repeating = _repeating(classes, _rarity(docs, buckets), buckets).withColumn("repeats", F.lit(True))
+    repeating = _repeating(classes, _rarity(docs, buckets), buckets)
+    none = F.lit(None).cast("struct<id:{0},line_no:int>".format(dict(docs.dtypes)["doc_id"]))
+    wholly = repeating.select(F.col("h").alias("of"), none.alias("first"))
+    # Only lines with copies are split into words here; similar ones have enough.
     enough = F.size(F.array_distinct(_words(F.col("best.line")))) >= LEAST_WORDS
-    cut = classes.where(enough & F.col("one")).join(repeating, "h", "left")
-    cut = cut.where("copies > 1 OR repeats").select(
-        F.col("h").alias("of"), "repeats", F.struct("best.id", "best.line_no").alias("first")
-    )
+    but_first = classes.where("one AND copies > 1").where(enough)
+    but_first = but_first.select(F.col("h").alias("of"), F.struct("best.id", "best.line_no").alias("first"))
+    cut = wholly.unionByName(but_first)
     placed = lines.select("id", "th", "line_no", F.length("line").alias("n_chars"), "h")
     met = placed.join(cut, F.col("h") == F.col("of"))
-    later = F.col("repeats").isNotNull() | (F.struct("id", "line_no") > F.col("first"))
+    later = F.col("first").isNull() | (F.struct("id", "line_no") > F.col("first"))
     return met.where(later).select("id", "th", "line_no", "n_chars")
 
 
@@ -200,8 +251,9 @@ def line_figures(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> DataFrame:
 
     Equal lines are one class after a grouping with partial results, so a line
     of a third of all rows costs one row per task. Rarity comes from a count
-    over all texts in ``buckets`` classes of words (8 K in the plan). No candidate is
-    capped, and groups of similar lines are not paired up in full.
+    over all texts in ``buckets`` classes of words (128 K small numbers in the
+    plan, whatever the size of the data). No candidate is capped, and groups of
+    similar lines are not paired up in full.
     """
     gone = removed_lines(docs, buckets).distinct().groupBy("id", "th").agg(
         F.count(F.lit(1)).alias("n_removed"),
