@@ -24,6 +24,8 @@ _HASH_BITS = 58
 _LEVELS = 31
 # Words of a bucket with fewer than 255 occurrences are rare.
 _RARE_LEVEL = 8
+# Lines of so many words have a bitmap of 64 bits, longer ones one of 128.
+_SHORT = 80
 # So many lines under one key may lead others; the rest are joined.
 _LEADERS = 2
 # Lines are ordered by these; the first three decide.
@@ -83,12 +85,17 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _identity(lines: DataFrame) -> DataFrame:
-    return lines.withColumns({"h": F.xxhash64("line"), "check": F.xxhash64(F.lit(6), "line")})
+    return lines.withColumns({"h": F.xxhash64("line"), "check": F.hash("line")})
 
 
 def _differ(a: Column, b: Column) -> Column:
-    """At least so many words are in one of two lines only: each turns one bit."""
-    return F.bit_count(a["low"].bitwiseXOR(b["low"])) + F.bit_count(a["high"].bitwiseXOR(b["high"]))
+    """At least so many words are in one of two lines only: each turns one bit.
+
+    A long line has 128 bits; its two halves together are the 64 of a short one.
+    """
+    low, high = a["low"].bitwiseXOR(b["low"]), a["high"].bitwiseXOR(b["high"])
+    short = F.least(a["n"], b["n"]) <= _SHORT
+    return F.when(short, F.bit_count(low.bitwiseXOR(high))).otherwise(F.bit_count(low) + F.bit_count(high))
 
 
 def _allow(a: Column, b: Column) -> Column:
@@ -121,8 +128,10 @@ def _index(classes: DataFrame, levels: Column, buckets: int) -> DataFrame:
     )
     sized = keyed.withColumn("n", F.coalesce(F.size("keys"), F.lit(0)))
     # Bits turned once for each word, so that long lines do not end with all bits set.
-    turned = "coalesce(aggregate(keys, 0L, (b, k) -> IF((k & 64) = {}, b ^ shiftleft(1L, int(k & 63)), b)), 0L)"
-    bits = {"low": F.expr(turned.format(0)), "high": F.expr(turned.format(64))}
+    turned = "coalesce(aggregate(keys, 0L, (b, k) -> IF({}, b ^ shiftleft(1L, int(k & 63)), b)), 0L)"
+    low = turned.format(f"n <= {_SHORT} OR (k & 64) = 0")
+    high = f"IF(n <= {_SHORT}, 0L, {turned.format('(k & 64) <> 0')})"
+    bits = {"low": F.expr(low), "high": F.expr(high)}
     # Lines of too few words have no prefix; a filter would make the keys twice.
     few = f"n < {LEAST_WORDS} OR copies < 1 OR NOT one"
     reach = "2 * int(n div 5) + int(n % 5 = 4) + 2"
@@ -134,7 +143,10 @@ def _index(classes: DataFrame, levels: Column, buckets: int) -> DataFrame:
     pairs = "IF(size(prefix) < 2 OR r > int(n div 5), 0, size(prefix) - 1 - 2 * r)"
     follow = f"transform(slice(prefix, r + 1, {pairs}), (k, i) -> xxhash64(k, prefix[r + i + 1]))"
     keys = F.expr(f"concat(slice(prefix, 1, r), {follow})")
-    return short.select(*line, F.posexplode(keys).alias("at", "key")).select("key", *_PLACE)
+    return short.select(*line, F.posexplode(keys).alias("at", "key")).select(
+        # Numbers that do not compress stand together.
+        "key", "h", "low", "high", "id", "line_no", "n", "at"
+    )
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
