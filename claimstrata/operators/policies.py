@@ -7,9 +7,9 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A policy with more than one part in SPLIT_PARTS of all claims is spread over
-# several tasks, unless it has no more than SPLIT_FLOOR claims.
-SPLIT_PARTS = 10_000
+# A policy with more than one part in so many of an average shuffle partition's
+# claims is spread over several tasks, unless it has no more than SPLIT_FLOOR claims.
+PARTS_PER_PARTITION = 8
 SPLIT_FLOOR = 100_000
 
 
@@ -31,7 +31,7 @@ def policy_metrics(df: DataFrame) -> DataFrame:
 def attach_policy_metrics(
     df: DataFrame,
     metrics: DataFrame,
-    parts: int = SPLIT_PARTS,
+    parts: int | None = None,
     floor: int = SPLIT_FLOOR,
 ) -> DataFrame:
     """Left join of ``policy_metrics`` output to rows that have a ``policy_id``.
@@ -45,7 +45,9 @@ def attach_policy_metrics(
     policies are broadcast. Each holds over 1/``parts`` of all claims, so
     there are fewer than ``parts`` of them whatever the size of the data, and
     the repeats add fewer than twice ``parts`` rows. Rows without a policy
-    match nothing and are dealt out one by one.
+    match nothing and are dealt out one by one. ``parts`` follows the number
+    of shuffle partitions unless given, so a slice is an eighth of an average
+    partition at most.
 
     Hand in ``metrics`` read from a stored table and ``df`` from a stored
     layer. The metrics are read at once for their total and their largest
@@ -53,6 +55,9 @@ def attach_policy_metrics(
     Spark whether to broadcast them whole. A stored ``df`` keeps the dealing
     the same when a lost task runs again.
     """
+    if parts is None:
+        shuffled = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        parts = PARTS_PER_PARTITION * shuffled
     known = F.col("policy_id").isNotNull()
     size = F.col("total_claims")
     total, largest = metrics.agg(F.sum(size), F.max(F.when(known, size))).first()

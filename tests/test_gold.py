@@ -87,18 +87,19 @@ def skewed(spark):
     ).toDF("policy_id", "claim_amount")
 
 
-def test_hot_policy_and_missing_policies_are_spread(spark, settings, tmp_path):
+@pytest.mark.parametrize("partitions", [16, 64])
+def test_hot_policy_and_missing_policies_are_spread(spark, settings, tmp_path, partitions):
     rows = skewed(spark)
     metrics = write_layer(policy_metrics(rows), str(tmp_path / "metrics"))
     fixed = {**SHUFFLED, "spark.sql.adaptive.enabled": "false"}
-    with settings({**fixed, "spark.sql.shuffle.partitions": "16"}):
-        out = attach_policy_metrics(rows, metrics, parts=200, floor=100)
+    with settings({**fixed, "spark.sql.shuffle.partitions": str(partitions)}):
+        out = attach_policy_metrics(rows, metrics, floor=1)
         sizes = [
             r.n for r in out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()
         ]
         whole = rows.count()
     assert sum(sizes) == whole
-    assert max(sizes) < 2 * whole / 16
+    assert max(sizes) < 2 * whole / partitions
 
 
 @pytest.mark.parametrize("plan", [{}, SHUFFLED], ids=["broadcast", "shuffled"])
