@@ -4,9 +4,10 @@ A line is the set of its words, ordered by rarity. Two lines of Jaccard
 similarity 0.8 or more share a word among the first fifth (and one) of either.
 If their first common word is rare, they meet on it. If not, all their common
 words are frequent, and they meet on two that follow each other in both lines,
-within the first two fifths. Lines that meet are compared in full if their
-lengths, the positions of what they share and a bitmap of their words allow
-the similarity.
+within the first two fifths. Lines of up to three words are that similar only
+if their word sets are equal, and meet on the whole set. Lines that meet are
+compared in full if their lengths, the positions of what they share and a
+bitmap of their words allow the similarity.
 """
 
 from __future__ import annotations
@@ -17,13 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-LEAST_WORDS = 5
 RARITY_BUCKETS = 1 << 17
 _OTHER_BLANKS = "\t\n\x0b\x0c\r"
 _HASH_BITS = 58
 _LEVELS = 31
 # Words of a bucket with fewer than 255 occurrences are rare.
 _RARE_LEVEL = 8
+# Lines of so many words are similar to those of the same word set only.
+_WHOLE = 3
 # Lines of so many words have a bitmap of 64 bits, longer ones one of 128.
 _SHORT = 80
 # So many lines under one key may lead others; the rest are joined.
@@ -75,13 +77,13 @@ def _keys(line: Column, levels: Column, buckets: int) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """``id, th, line_no, line`` of every line that can have ``LEAST_WORDS`` words."""
+    """``id, th, line_no, line`` of every line that is not empty."""
     rows = docs.select(
         F.col("doc_id").alias("id"),
         F.xxhash64("text").alias("th"),
         F.posexplode(F.split("text", "\n")).alias("line_no", "line"),
     )
-    return rows.where(F.length("line") >= 2 * LEAST_WORDS - 1)
+    return rows.where(F.length("line") > 0)
 
 
 def _identity(lines: DataFrame) -> DataFrame:
@@ -120,6 +122,10 @@ def _index(classes: DataFrame, levels: Column, buckets: int) -> DataFrame:
     2a + b is 2 (n div 5), and one more where n leaves a rest of 4. Hence the
     keys: the rare words up to position n div 5, and if there are no more than
     n div 5 of them, the pairs of neighbours from position r to that bound less r.
+    So many pairs exist if the n - a common words are at least a + b - r + 2,
+    which holds from four words on (a = 0 and b at most 1 for four; a + b at
+    most 1 for five). Up to ``_WHOLE`` words a and b are 0, and the hash of all
+    the words is the only key.
     """
     line = [name for name in _PLACE if name != "at"]
     # The line itself must not stand beside each of its words.
@@ -132,17 +138,18 @@ def _index(classes: DataFrame, levels: Column, buckets: int) -> DataFrame:
     low = turned.format(f"n <= {_SHORT} OR (k & 64) = 0")
     high = f"IF(n <= {_SHORT}, 0L, {turned.format('(k & 64) <> 0')})"
     bits = {"low": F.expr(low), "high": F.expr(high)}
-    # Lines of too few words have no prefix; a filter would make the keys twice.
-    few = f"n < {LEAST_WORDS} OR copies < 1 OR NOT one"
+    # Lines without words have no prefix; a filter would make the keys twice.
+    none = "n < 1 OR copies < 1 OR NOT one"
     reach = "2 * int(n div 5) + int(n % 5 = 4) + 2"
-    prefix = F.expr(f"slice(keys, 1, IF({few}, 0, least(n, {reach})))")
+    prefix = F.expr(f"slice(keys, 1, IF({none}, 0, IF(n <= {_WHOLE}, n, least(n, {reach}))))")
     # Nor may all its words stand beside each of them.
     short = sized.withColumns(bits | {"prefix": prefix}).select(*line, "prefix")
     rare = F.expr(f"size(filter(slice(prefix, 1, int(n div 5) + 1), k -> k < {_RARE_LEVEL << _HASH_BITS}L))")
     short = short.withColumn("r", rare)
     pairs = "IF(size(prefix) < 2 OR r > int(n div 5), 0, size(prefix) - 1 - 2 * r)"
     follow = f"transform(slice(prefix, r + 1, {pairs}), (k, i) -> xxhash64(k, prefix[r + i + 1]))"
-    keys = F.expr(f"concat(slice(prefix, 1, r), {follow})")
+    some = f"concat(slice(prefix, 1, r), {follow})"
+    keys = F.expr(f"IF(size(prefix) > 0 AND n <= {_WHOLE}, array(xxhash64(prefix)), {some})")
     return short.select(*line, F.posexplode(keys).alias("at", "key")).select(
         # Numbers that do not compress stand together.
         "key", "h", "low", "high", "id", "line_no", "n", "at"
@@ -235,9 +242,8 @@ def removed_lines(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> DataFrame:
     repeating = _repeating(classes, _rarity(docs, buckets), buckets)
     none = F.lit(None).cast("struct<id:{0},line_no:int>".format(dict(docs.dtypes)["doc_id"]))
     wholly = repeating.select(F.col("h").alias("of"), none.alias("first"))
-    # Only lines with copies are split into words here; similar ones have enough.
-    enough = F.size(F.array_distinct(_words(F.col("best.line")))) >= LEAST_WORDS
-    but_first = classes.where("one AND copies > 1").where(enough)
+    # Only lines with copies are split into words here; similar ones have some.
+    but_first = classes.where("one AND copies > 1").where(F.size(_words(F.col("best.line"))) > 0)
     but_first = but_first.select(F.col("h").alias("of"), F.struct("best.id", "best.line_no").alias("first"))
     cut = wholly.unionByName(but_first)
     placed = lines.select("id", "th", "line_no", F.length("line").alias("n_chars"), "h")
@@ -249,9 +255,8 @@ def removed_lines(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> DataFrame:
 def line_figures(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> DataFrame:
     """``doc_id, n_lines, n_removed, chars_removed, removed`` (line numbers) for every row.
 
-    Lines end at a line feed. A line takes part if it has ``LEAST_WORDS``
-    different words (runs without white space); it is removed if an earlier
-    line of the corpus has a word set of Jaccard similarity 0.8 or more to its
+    Lines end at a line feed. A line takes part if it has a word (a run
+    without white space); it is removed if an earlier line of the corpus has a word set of Jaccard similarity 0.8 or more to its
     own, whether or not that line stays. Lines are ordered by document id
     (null first), then line number, then a hash.
 
