@@ -294,7 +294,11 @@ def line_figures(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> DataFrame:
 
 
 def drop_lines(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> DataFrame:
-    """Every row with the lines that stay; ``n_chars`` follows the text, other columns are kept."""
+    """Rows with the lines that stay; ``n_chars`` follows the text, other columns are kept.
+
+    A document that had words and lost all of them to removed lines goes. One
+    that had none, a null or empty text too, stays as it is.
+    """
     gone = removed_lines(docs, buckets).distinct().groupBy("id", "th").agg(
         F.collect_list("line_no").alias("_removed")
     )
@@ -305,6 +309,9 @@ def drop_lines(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> DataFrame:
     numbers = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed"))
     left = F.array_join(F.transform(numbers, lambda i: F.get(lines, i)), "\n")
     text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(left)
+    # Only lines with words are removed.
+    worded = F.exists(numbers, lambda i: F.size(_words(F.get(lines, i))) > 0)
+    found = found.where(F.col("_removed").isNull() | worded)
     changed = {"text": text}
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]

@@ -18,7 +18,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that repeat an earlier line go; every document stays, if need be without text."""
+    """Lines that repeat an earlier line go, and documents that lose all their words by that."""
     return line_dedup.drop_lines(docs)
 
 

@@ -7,6 +7,7 @@ import brute
 import duckdb
 import pytest
 
+import corpus_pipeline
 from claimstrata.llm import line_dedup
 from claimstrata.llm.queries import QUERIES
 
@@ -68,3 +69,11 @@ def test_query_against_brute_force(spark):
         chars[doc_id] += n
     got = {row.doc_id: (row.n_removed, row.chars_removed) for row in QUERIES["op6_line_dedup"](spark, SF_DIR).collect()}
     assert got == {doc_id: (number[doc_id], chars[doc_id]) for doc_id, _ in docs}
+
+
+def test_documents_left_without_words_go(spark):
+    line = "all of these words are here"
+    docs = [(1, line), (2, line), (3, f"{line}\n \n"), (4, f"{line}\nand more"), (5, ""), (6, None), (7, " \n"), (None, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {(row.doc_id, row.text) for row in corpus_pipeline.lines(spark, frame, "").collect()}
+    assert got == {(1, line), (4, "and more"), (5, ""), (6, None), (7, " \n"), (None, None)}
