@@ -24,11 +24,15 @@ _BAD = "label:bad"
 
 @dataclass(frozen=True)
 class Mining:
-    """Support is a share of the labelled urls, confidence that of bad ones among a rule's urls."""
+    """Support is a share of the labelled urls, confidence that of bad ones among a rule's urls.
+
+    Lift is the confidence over the share of bad ones among all; 1 only asks that
+    a rule's urls are no better than all, which some rule can meet at any share.
+    """
 
     support: float = 0.005
     confidence: float = 0.6
-    lift: float = 2.0
+    lift: float = 1.0
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
