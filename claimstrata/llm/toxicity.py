@@ -338,9 +338,9 @@ def train(docs: DataFrame, labels: DataFrame, plan: Training = Training()) -> Ne
     """A network from a bounded sample of labelled rows, or the share of toxic labels.
 
     The sample takes up to ``plan.rows`` ids of each class in the order of a
-    hash, and of their texts those of at most ``plan.text_bytes`` bytes: at
-    most ``2 * rows * text_bytes`` bytes come to the driver. Without rows of
-    both classes there is nothing to learn and the share is the score.
+    hash, of those that have a text of at most ``plan.text_bytes`` bytes: at
+    most ``2 * rows * text_bytes`` bytes come to the driver. Without such rows
+    of both classes there is nothing to learn and the share is the score.
     """
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
@@ -349,9 +349,10 @@ def train(docs: DataFrame, labels: DataFrame, plan: Training = Training()) -> Ne
     if not bad or not good:
         return float(bad > 0)
     order = (F.xxhash64(F.lit(plan.seed), "doc_id"), "doc_id")
-    parts = [known.where(F.col("toxic") == flag).orderBy(*order).limit(plan.rows) for flag in (True, False)]
-    sample = F.broadcast(parts[0].unionByName(parts[1]).withColumnRenamed("doc_id", "_id"))
     texts = docs.select("doc_id", "text").where(F.octet_length("text") <= plan.text_bytes)
+    usable = known.join(texts.select("doc_id"), "doc_id", "left_semi")
+    parts = [usable.where(F.col("toxic") == flag).orderBy(*order).limit(plan.rows) for flag in (True, False)]
+    sample = F.broadcast(parts[0].unionByName(parts[1]).withColumnRenamed("doc_id", "_id"))
     rows = texts.join(sample, F.col("doc_id") == F.col("_id")).dropDuplicates(["doc_id"])
     table = rows.select("doc_id", "text", "toxic").toArrow().sort_by("doc_id")
     toxic = table.column("toxic").to_numpy().astype(bool)
