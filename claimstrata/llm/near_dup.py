@@ -286,7 +286,7 @@ def _connect(size: int):
 
 
 def near_duplicates(docs: DataFrame, size: int = 2) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` (and the text's hashes) for every row.
+    """``doc_id, n_shingles, component_id, kept`` (the text's hashes and the group) for every row.
 
     A document's set is its distinct shingles of ``size`` words; with fewer
     words the whole sequence is the one shingle. Documents are linked if 100
@@ -373,10 +373,10 @@ def near_duplicates(docs: DataFrame, size: int = 2) -> DataFrame:
     labels = components(links)
     named = classes.select("cid", "id", "name").join(labels, F.col("cid") == F.col("node"))
     best = named.groupBy("label").agg(F.min("id").alias("component_id"))
-    linked = named.join(best, "label").select("name", "component_id")
-    alone = classes.select("name", "id")
+    linked = named.join(best, "label").select("name", "component_id", "label")
+    alone = classes.select("name", "id", "cid")
     chosen = alone.join(linked, "name", "left").select(
-        "name", F.coalesce("component_id", "id").alias("component_id")
+        "name", F.coalesce("component_id", "id").alias("component_id"), F.coalesce("label", "cid").alias("group")
     )
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     result = signed.join(chosen, "name", "left").withColumn("component_id", own)
@@ -387,15 +387,21 @@ def near_duplicates(docs: DataFrame, size: int = 2) -> DataFrame:
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
         "h1",
         "h2",
+        "group",
     )
 
 
 def keep_one(docs: DataFrame, size: int = 5) -> DataFrame:
     """One row of each group of near-duplicates, with the columns it had.
 
-    Rows equal in id and text are one row.
+    The smallest id stays (null last), of several texts of that id the one of
+    the smallest hashes. Rows equal in id and text are one row; texts without
+    words are in no group and stay.
     """
-    found = near_duplicates(docs, size).where("kept")
+    found = near_duplicates(docs, size)
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "h1", "h2")).alias("one")
+    best = found.where("group IS NOT NULL").groupBy("group").agg(one).select("one.doc_id", "one.h1", "one.h2")
+    found = best.unionByName(found.where("group IS NULL").select("doc_id", "h1", "h2"))
     found = found.select(F.col("doc_id").alias("_id"), F.col("h1").alias("_h1"), F.col("h2").alias("_h2")).distinct()
     rows = docs.withColumns({"_t1": F.xxhash64("text"), "_t2": F.xxhash64(F.lit(7), "text")})
     match = rows["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_t1") == F.col("_h1")) & (F.col("_t2") == F.col("_h2"))
