@@ -123,8 +123,8 @@ class Index:
 
 
 def _load(items: DataFrame, block_bytes: int) -> list[tuple[list[str | None], list[str]]]:
-    """How many blocks the items make, by their size."""
-    sized = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
+    """The different rows of the items, in blocks by their size."""
+    sized = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text").distinct()
     total = sized.agg(F.sum(F.octet_length("text") + F.octet_length("item") + 16)).first()[0] or 0
     count = max(1, -(-int(total) // block_bytes))
     part = F.pmod(F.xxhash64("item", "text"), F.lit(count))
