@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from claimstrata.llm import (
     decontaminate,
+    divergence,
+    exact_dedup,
     line_dedup,
     mixing,
     near_dup,
@@ -18,6 +20,7 @@ from claimstrata.llm import (
     repetition,
     token_counts,
     toxicity,
+    turn_repair,
     url_rules,
 )
 
@@ -108,6 +111,19 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(_table(spark, sf_dir, "documents"))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = turn_repair.damaged(_table(spark, sf_dir, "conversations"))
+    return turn_repair.repair(rows).withColumnRenamed("conv", "conv_id")
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.copies(_table(spark, sf_dir, "documents"), with_digest=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_quality_rules": op2_quality_rules,
@@ -119,4 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
     "op10_near_dup": op10_near_dup,
+    "op11_divergence": op11_divergence,
+    "op12_turn_repair": op12_turn_repair,
+    "op13_exact_dedup": op13_exact_dedup,
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -178,3 +179,65 @@ def mined_rules(baskets, support, confidence, lift):
         level = {a | b for a, b in combinations(grown, 2) if len(a | b) == len(a) + 1}
         level = [x for x in level if all(x - {y} in have for y in x)]
     return found
+
+
+def damaged(rows):
+    """Rows (conv, turn, role, text) after the damage, and all conversations."""
+    out = []
+    for conv, turn, role, text in rows:
+        key = ":".join(" " if x is None else str(x) for x in (conv, turn))
+        kind = zlib.crc32(key.encode()) % 20
+        role, text = (" " if x is None else x for x in (role, text))
+        role = "user" if kind == 4 else role
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        out += [(conv, turn, role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    return out
+
+
+def repaired(turns):
+    """Figures, edits and digest of one conversation's rows (turn, role, text), by trying whole strings."""
+    def by_digest(row):
+        turn, role, text = row
+        whole = hashlib.sha256(f"{len(role)}:{role}{text}".encode()).digest()
+        return (turn is not None, turn or 0, role, whole)
+
+    turns = sorted(turns, key=by_digest)
+    known = [t for t, _, _ in turns if t is not None]
+    gaps = max(known) - min(known) + 1 - len(set(known)) if known else 0
+    seen, faults = set(), []
+    for _, role, text in turns:
+        core = text.strip(" \t\n\x0b\x0c\r")
+        faults.append("b" if not core else "d" if (role, text) in seen else "t" if core[-1] not in ".!?" else "")
+        seen.add((role, text))
+    initials = [role[:1] for _, role, _ in turns]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+    keep = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}
+
+    def offer(cells, state, entry):
+        if state not in cells or entry[:2] < cells[state][:2]:
+            cells[state] = entry
+
+    def put(cells):
+        for _ in range(4):
+            for state, (cost, audit, made) in list(cells.items()):
+                role = "assistant" if state == 2 else "user"
+                offer(cells, 3 if state == 2 else 2, (cost + 5, audit + "I", (*made, role + ":")))
+
+    cells = {0: (0, "", ())}
+    put(cells)
+    for (_, role, text), fault in zip(turns, faults):
+        after = {}
+        for state, (cost, audit, made) in cells.items():
+            offer(after, state, (cost + 2, audit + "D", made))
+            if fault in "bd" and fault:
+                continue
+            more = 5 if fault == "t" else 0
+            name, following = ("assistant", 3) if state == 2 else ("user", 2)
+            offer(after, following, (cost + 1 + more, audit + "R", (*made, f"{name}:{text}")))
+            if (state, role[:1]) in keep:
+                offer(after, keep[state, role[:1]], (cost + more, audit + "K", (*made, f"{role}:{text}")))
+        put(after)
+        cells = after
+    cost, audit, made = min(cells[x] for x in (0, 3) if x in cells)
+    digest = hashlib.sha256("\n".join(made).encode()).hexdigest()
+    return (gaps, faults.count("b"), faults.count("d"), faults.count("t"), illegal, cost, audit, digest)
