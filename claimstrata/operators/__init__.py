@@ -1,5 +1,6 @@
 """``DataFrame -> DataFrame`` operators, meant for ``df.transform``."""
 
+from claimstrata.operators.bitmaps import code_bitmaps, count_codes, merge_bitmaps
 from claimstrata.operators.claims import explode_claims
 from claimstrata.operators.cleaning import (
     SILVER_COLUMNS,
@@ -9,7 +10,8 @@ from claimstrata.operators.cleaning import (
     stamp_etl_date,
     strip_column,
 )
-from claimstrata.operators.customers import distribution, total_customers
+from claimstrata.operators.customers import distribution, distributions, total_customers
+from claimstrata.operators.distinct import drop_copies_by_fingerprint
 from claimstrata.operators.flatten import flatten
 from claimstrata.operators.masking import IDENTITY_FIELDS, mask_fields
 from claimstrata.operators.policies import attach_policy_metrics, policy_metrics
@@ -19,12 +21,17 @@ __all__ = [
     "IDENTITY_FIELDS",
     "SILVER_COLUMNS",
     "attach_policy_metrics",
+    "code_bitmaps",
+    "count_codes",
     "distribution",
+    "distributions",
     "drop_copies",
+    "drop_copies_by_fingerprint",
     "explode_claims",
     "fill_nulls",
     "flatten",
     "mask_fields",
+    "merge_bitmaps",
     "monthly_revenue",
     "monthly_slice",
     "policy_metrics",

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimstrata.session import shuffle_partitions
+
 # A policy with more than one part in so many of an average shuffle partition's
 # claims is spread over several tasks, unless it has no more than SPLIT_FLOOR claims.
 PARTS_PER_PARTITION = 8
@@ -28,6 +30,43 @@ def policy_metrics(df: DataFrame) -> DataFrame:
     )
 
 
+def split_limit(metrics: DataFrame, parts: int | None = None, floor: int = SPLIT_FLOOR) -> tuple[int, int]:
+    """Claims that one slice of a policy may hold, and the claims of the largest known policy.
+
+    ``parts`` follows the number of shuffle partitions unless given, so a
+    slice is an eighth of an average partition at most.
+    """
+    if parts is None:
+        parts = PARTS_PER_PARTITION * shuffle_partitions(metrics.sparkSession)
+    known = F.col("policy_id").isNotNull()
+    size = F.col("total_claims")
+    total, largest = metrics.agg(F.sum(size), F.max(F.when(known, size))).first()
+    return max(math.ceil((total or 0) / parts), floor), largest or 0
+
+
+def deal_slices(
+    df: DataFrame, metrics: DataFrame, limit: int, largest: int, name: str = "policy_slice"
+) -> DataFrame:
+    """Rows with the number of their policy's slice; rows without a policy get one of their own each."""
+    known = F.col("policy_id").isNotNull()
+    turn = F.monotonically_increasing_id()
+    own_slice = F.lit(0)
+    if largest > limit:
+        size = F.col("total_claims")
+        large = metrics.where(known & (size > limit)).select("policy_id", F.ceil(size / limit).alias("_slices"))
+        df = df.join(F.broadcast(large), "policy_id", "left")
+        deal = F.pmod(F.xxhash64(turn), "_slices")
+        own_slice = F.when(F.col("_slices").isNull(), 0).otherwise(deal)
+    return df.withColumn(name, F.when(known, own_slice).otherwise(turn)).drop("_slices")
+
+
+def repeat_for_slices(metrics: DataFrame, limit: int, name: str = "policy_slice") -> DataFrame:
+    """The metrics of each known policy once for each of its slices."""
+    slices = F.ceil(F.col("total_claims") / limit)
+    known = metrics.where(F.col("policy_id").isNotNull())
+    return known.withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), slices - 1)))
+
+
 def attach_policy_metrics(
     df: DataFrame,
     metrics: DataFrame,
@@ -55,25 +94,7 @@ def attach_policy_metrics(
     Spark whether to broadcast them whole. A stored ``df`` keeps the dealing
     the same when a lost task runs again.
     """
-    if parts is None:
-        shuffled = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        parts = PARTS_PER_PARTITION * shuffled
-    known = F.col("policy_id").isNotNull()
-    size = F.col("total_claims")
-    total, largest = metrics.agg(F.sum(size), F.max(F.when(known, size))).first()
-    limit = max(math.ceil((total or 0) / parts), floor)
-    slices = F.ceil(size / limit)
-
-    turn = F.monotonically_increasing_id()
-    own_slice = F.lit(0)
-    if (largest or 0) > limit:
-        large = metrics.where(known & (size > limit)).select("policy_id", slices.alias("_slices"))
-        df = df.join(F.broadcast(large), "policy_id", "left")
-        deal = F.pmod(F.xxhash64(turn), "_slices")
-        own_slice = F.when(F.col("_slices").isNull(), 0).otherwise(deal)
-    dealt = df.withColumn("_slice", F.when(known, own_slice).otherwise(turn)).drop("_slices")
-
-    sliced = metrics.where(known).withColumn(
-        "_slice", F.explode(F.sequence(F.lit(0), slices - 1))
-    )
+    limit, largest = split_limit(metrics, parts, floor)
+    dealt = deal_slices(df, metrics, limit, largest, "_slice")
+    sliced = repeat_for_slices(metrics, limit, "_slice")
     return dealt.join(sliced, ["policy_id", "_slice"], "left").drop("_slice")

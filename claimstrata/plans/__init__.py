@@ -1,9 +1,11 @@
 from claimstrata.plans.layers import BRONZE_COLUMNS, bronze, documents, gold_claim_policy, silver
+from claimstrata.plans.policy_layout import PolicyLayout, write_policy_layout
 from claimstrata.plans.publish import Layers, export_csv, export_database, publish
 
 __all__ = [
     "BRONZE_COLUMNS",
     "Layers",
+    "PolicyLayout",
     "bronze",
     "documents",
     "export_csv",
@@ -11,4 +13,5 @@ __all__ = [
     "gold_claim_policy",
     "publish",
     "silver",
+    "write_policy_layout",
 ]

@@ -261,6 +261,29 @@ UNION ALL SELECT 'march_data', count(*) FROM (
   WHERE year(sale_day) = 1998 AND month(sale_day) = 3)""",
 }
 
+_DIMENSIONS = " UNION ALL ".join(
+    f"SELECT '{by}' AS dimension, {by} AS value, count(customer_code) AS customer_count FROM bronze GROUP BY {by}"
+    for by in ("age_group", "acquisition_channel", "city")
+)
+
+ORACLES |= {
+    "silver_by_fingerprint": ORACLES["silver"],
+    "enrich_colocated": _ENRICHED_BRONZE,
+    "customers_merged": ORACLES["total_customers"],
+    "customers_per_month": f"""{_BRONZE}
+SELECT CAST(100 * year(sale_day) + month(sale_day) AS INTEGER) AS sale_month,
+       count(DISTINCT customer_code) + max(CASE WHEN customer_code IS NULL THEN 1 ELSE 0 END) AS total_customers
+FROM bronze GROUP BY 1""",
+    "distributions": f"{_BRONZE} {_DIMENSIONS}",
+    "month_pruned": ORACLES["monthly_slice"],
+    "month_replaced": f"""{_BRONZE}
+SELECT CAST(year(sale_day) AS INTEGER) AS "year", CAST(month(sale_day) AS INTEGER) AS "month",
+       CAST(sum(CASE WHEN year(sale_day) = 1998 AND month(sale_day) = 3
+                THEN 2 ELSE 1 END * revenue_amt) AS BIGINT) AS total_revenue,
+       count(customer_code) AS total_customers
+FROM bronze GROUP BY 1, 2""",
+}
+
 # What a whole run stores, read back, is what the queries of its parts give.
 ORACLES |= {
     "published_silver": ORACLES["silver"],

@@ -17,8 +17,18 @@ from pyspark.sql import functions as F
 from claimstrata import operators as ops
 from claimstrata import plans
 from claimstrata.registry.wire import wire_documents
-from claimstrata.sinks import checkpointed, read_csv, write_csv, write_layer
-from claimstrata.sinks.lineage import new_folder
+from claimstrata.sinks import (
+    MONTH_COLUMN,
+    checkpointed,
+    month_key,
+    new_folder,
+    read_csv,
+    read_months,
+    replace_month,
+    write_csv,
+    write_layer,
+    write_months,
+)
 from claimstrata.sources import read_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -185,6 +195,10 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.silver(claim_rows(spark, sf_dir), AS_OF)
 
 
+def silver_by_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.silver(claim_rows(spark, sf_dir), AS_OF, ops.drop_copies_by_fingerprint)
+
+
 # Gold, on bronze rows unless the name says silver.
 
 
@@ -212,10 +226,35 @@ def enrich_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.attach_policy_metrics(rows, _store_metrics(spark, rows))
 
 
+def enrich_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    metrics = _store_metrics(spark, claim_rows(spark, sf_dir))
+    docs = documents_layer(spark, sf_dir)
+    return plans.write_policy_layout(docs, metrics, new_folder(spark, "by_policy")).claim_policy(spark)
+
+
 def total_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.total_customers(bronze_layer(spark, sf_dir))
 
 
+def _month_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = claim_rows(spark, sf_dir).select("customer_code", month_key(F.col("sale_day")).alias(MONTH_COLUMN))
+    bitmaps = ops.code_bitmaps(rows, by=(MONTH_COLUMN,))
+    return spark.read.parquet(_once(spark, sf_dir, "bitmaps", lambda path: write_layer(bitmaps, path)))
+
+
+def customers_per_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.count_codes(_month_bitmaps(spark, sf_dir), by=(MONTH_COLUMN,))
+
+
+def customers_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers from the bitmaps of the months, without their rows."""
+    return ops.count_codes(ops.merge_bitmaps(_month_bitmaps(spark, sf_dir)))
+
+
+def distributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.distributions(bronze_layer(spark, sf_dir), ("age_group", "acquisition_channel", "city"))
+
+
 def _distribution(by: str) -> Query:
     return lambda spark, sf_dir: ops.distribution(bronze_layer(spark, sf_dir), by)
 
@@ -228,6 +267,29 @@ def monthly_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.monthly_slice(claim_rows(spark, sf_dir), YEAR, MONTH, F.col("sale_day"))
 
 
+def _by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents layer laid out by sale month."""
+    docs = documents_layer(spark, sf_dir)
+    path = _once(spark, sf_dir, "documents_by_month", lambda target: write_months(docs, target))
+    return read_months(spark, path, docs.schema)
+
+
+def month_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = plans.bronze(_by_month(spark, sf_dir), "sale_day", MONTH_COLUMN)
+    return ops.monthly_slice(rows, YEAR, MONTH, F.col("sale_day"), MONTH_COLUMN)
+
+
+def month_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly figures after one month alone was written again, with twice the revenue."""
+    path = new_folder(spark, "months")
+    layer = write_months(documents_layer(spark, sf_dir), path)
+    month = 100 * YEAR + MONTH
+    twice = layer.where(F.col(MONTH_COLUMN) == month).withColumn("revenue_amt", 2 * F.col("revenue_amt"))
+    replace_month(twice, path, month)
+    rows = plans.bronze(read_months(spark, path, layer.schema), "sale_day")
+    return ops.monthly_revenue(rows, F.col("sale_day"))
+
+
 def monthly_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.monthly_revenue(silver(spark, sf_dir))
 
@@ -296,6 +358,7 @@ QUERIES: dict[str, Query] = {
     "dedup_rows": dedup_rows,
     "strip_special": strip_special,
     "silver": silver,
+    "silver_by_fingerprint": silver_by_fingerprint,
     "policy_metrics": policy_metrics,
     "policy_total_claims": _one_metric("total_claims"),
     "policy_total_amount": _one_metric("total_claim_amount"),
@@ -303,12 +366,18 @@ QUERIES: dict[str, Query] = {
     "enrich_policy_metrics": enrich_policy_metrics,
     "enrich_rows": enrich_rows,
     "enrich_silver": enrich_silver,
+    "enrich_colocated": enrich_colocated,
     "total_customers": total_customers,
+    "customers_per_month": customers_per_month,
+    "customers_merged": customers_merged,
+    "distributions": distributions,
     "dist_age_group": _distribution("age_group"),
     "dist_channel": _distribution("acquisition_channel"),
     "dist_city": _distribution("city"),
     "monthly_revenue": monthly_revenue,
     "monthly_slice": monthly_slice,
+    "month_pruned": month_pruned,
+    "month_replaced": month_replaced,
     "monthly_silver": monthly_silver,
     "csv_roundtrip": csv_roundtrip,
     "csv_rows": csv_rows,

@@ -15,6 +15,7 @@ ADVISORY_BYTES = 64 * 1024**2
 # that it is not below the advisory size.
 HASH_JOIN_BYTES = ADVISORY_BYTES
 _SPLITS = "spark.sql.files.maxPartitionBytes"
+_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def settings_for(input_bytes: int) -> dict[str, str]:
@@ -27,16 +28,26 @@ def settings_for(input_bytes: int) -> dict[str, str]:
     A join whose smaller side fits a hash table in every partition, as the
     policy metrics do, runs without sorting the rows.
     """
-    partitions = max(200, -(-input_bytes // JSON_BYTES_PER_PARTITION))
+    partitions = str(max(200, -(-input_bytes // JSON_BYTES_PER_PARTITION)))
     return {
         "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        # The same number twice: adaptive execution starts with the one, and
+        # whoever sizes slices or blocks by the shuffle reads the other.
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": partitions,
+        _PARTITIONS: partitions,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(ADVISORY_BYTES),
         "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(HASH_JOIN_BYTES),
         _SPLITS: str(JSON_SPLIT_BYTES),
     }
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """The number of partitions a shuffle starts with."""
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    return int(initial if adaptive and initial else spark.conf.get(_PARTITIONS))
+
+
 def _bytes(setting: str) -> int:
     """A size setting such as ``134217728b`` or ``16m`` in bytes."""
     text = setting.strip().lower().removesuffix("b")

@@ -1,14 +1,23 @@
 from claimstrata.sinks.database import DatabaseTarget, write_table
 from claimstrata.sinks.files import read_csv, write_csv, write_layer
-from claimstrata.sinks.lineage import checkpointed, persisted, shared_folder
+from claimstrata.sinks.lineage import checkpointed, new_folder, persisted, shared_folder
+from claimstrata.sinks.months import MONTH_COLUMN, month_key, read_months, replace_month, write_months
+from claimstrata.sinks.storage import Store
 
 __all__ = [
+    "MONTH_COLUMN",
     "DatabaseTarget",
+    "Store",
     "checkpointed",
+    "month_key",
+    "new_folder",
     "persisted",
     "read_csv",
+    "read_months",
+    "replace_month",
     "shared_folder",
     "write_csv",
     "write_layer",
+    "write_months",
     "write_table",
 ]
