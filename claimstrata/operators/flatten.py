@@ -12,8 +12,8 @@ def _int(path: str) -> Column:
     return wrapped_int(path).alias(path.rsplit(".", 1)[-1])
 
 
-def flatten(wire: DataFrame) -> DataFrame:
-    """One flat row per document, with ``claims`` still an array.
+def flatten(wire: DataFrame, *extra: str) -> DataFrame:
+    """One flat row per document, with ``claims`` still an array and ``extra`` columns behind.
 
     A single projection: wrapped numbers become ints, texts stay texts and a
     NULL struct gives NULL for each of its leaves. The document id is dropped.
@@ -43,4 +43,5 @@ def flatten(wire: DataFrame) -> DataFrame:
         _int("revenue.revenue_amt"),
         F.col("pii_fields.pan_number"),
         F.col("pii_fields.aadhaar_number"),
+        *extra,
     )

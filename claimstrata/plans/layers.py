@@ -52,15 +52,15 @@ BRONZE_COLUMNS = (
 GOLD_MEASURES = ("total_claims", "total_claim_amount", "avg_claim_amount")
 
 
-def documents(wire: DataFrame) -> DataFrame:
-    """Typed, masked documents, one row each, ``claims`` still an array.
+def documents(wire: DataFrame, *extra: str) -> DataFrame:
+    """Typed, masked documents, one row each, ``claims`` still an array, and ``extra`` columns.
 
     Masking comes before the explode, so a document is hashed once and not
     once per claim, and no stored layer holds a plain identity number.
     ``sale_day`` is the parsed sale date, kept so that a month can be read
     without parsing or reading the rest.
     """
-    return mask_fields(flatten(wire)).withColumn("sale_day", sale_day())
+    return mask_fields(flatten(wire, *extra)).withColumn("sale_day", sale_day())
 
 
 def bronze(docs: DataFrame, *extra: str) -> DataFrame:

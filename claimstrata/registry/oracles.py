@@ -261,6 +261,28 @@ UNION ALL SELECT 'march_data', count(*) FROM (
   WHERE year(sale_day) = 1998 AND month(sale_day) = 3)""",
 }
 
+_CUT, _LIST, _UNTYPED, _DRIFTED = (f"l_orderkey % {n} = 0" for n in (53, 59, 61, 7))
+
+ORACLES |= {
+    "rejected_lines": f"""
+SELECT to_hex(l_orderkey) || '-' || l_linenumber AS oid,
+       CASE WHEN {_CUT} THEN 'not JSON' WHEN {_LIST} THEN 'no object' ELSE 'type of a field' END AS reason,
+       true AS has_file
+FROM lineitem WHERE {_CUT} OR {_LIST} OR {_UNTYPED}""",
+    "checked_bronze": f"""{_BRONZE}
+SELECT {_BRONZE_LIST} FROM bronze WHERE NOT ({_CUT} OR {_LIST} OR {_UNTYPED})""",
+    "field_drift": f"""
+WITH drifted AS (
+  SELECT l_orderkey FROM lineitem WHERE {_DRIFTED} AND NOT ({_CUT} OR {_LIST} OR {_UNTYPED}))
+SELECT * FROM (
+  SELECT '[]' AS path, 'STRING' AS type, count(*) AS n FROM lineitem WHERE {_LIST} AND NOT {_CUT}
+  UNION ALL SELECT 'sale', 'BIGINT', count(*) FROM lineitem WHERE {_UNTYPED} AND NOT ({_CUT} OR {_LIST})
+  UNION ALL SELECT 'loyalty.tier', 'STRING', count(*) FROM drifted
+  UNION ALL SELECT 'loyalty.points[]', 'BIGINT', 2 * count(*) FROM drifted
+  UNION ALL SELECT 'renewed', 'BOOLEAN', count(*) FROM drifted)
+WHERE n > 0""",
+}
+
 _DIMENSIONS = " UNION ALL ".join(
     f"SELECT '{by}' AS dimension, {by} AS value, count(customer_code) AS customer_count FROM bronze GROUP BY {by}"
     for by in ("age_group", "acquisition_channel", "city")
@@ -284,6 +306,27 @@ SELECT CAST(year(sale_day) AS INTEGER) AS "year", CAST(month(sale_day) AS INTEGE
 FROM bronze GROUP BY 1, 2""",
 }
 
+_MEASURES = ("total_claims", "total_claim_amount", "avg_claim_amount")
+
+
+def _column_figures(layer: str, rows: str, columns: tuple[str, ...], numbers: set[str]) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{layer}' AS layer, '{name}' AS "column", count(*) - count("{name}") AS nulls,
+            {f'CAST(sum("{name}") AS BIGINT)' if name in numbers else "CAST(NULL AS BIGINT)"} AS total FROM {rows}"""
+        for name in columns
+    )
+
+
+ORACLES |= {
+    "csv_version": ORACLES["csv_rows"],
+    "metrics_by_batch": ORACLES["policy_metrics"],
+    "published_columns": f"""{_SILVER}, {_metrics("bronze")},
+joined AS (SELECT b.*, m.* EXCLUDE (policy_id) FROM bronze b LEFT JOIN metrics m ON b.policy_id = m.policy_id)
+{_column_figures("bronze", "bronze", BRONZE_COLUMNS, _NUMBERS)} UNION ALL
+{_column_figures("silver", "silver", (*SILVER_COLUMNS, "etl_date"), _NUMBERS - {"age"})} UNION ALL
+{_column_figures("claim_policy", "joined", (*BRONZE_COLUMNS, *_MEASURES), _NUMBERS | {*_MEASURES[:2]})}""",
+}
+
 # What a whole run stores, read back, is what the queries of its parts give.
 ORACLES |= {
     "published_silver": ORACLES["silver"],

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from claimstrata import operators as ops
 from claimstrata import plans
-from claimstrata.registry.wire import wire_documents
+from claimstrata.registry.wire import odd_lines, wire_documents
 from claimstrata.sinks import (
     MONTH_COLUMN,
     checkpointed,
@@ -24,12 +24,14 @@ from claimstrata.sinks import (
     new_folder,
     read_csv,
     read_months,
+    read_version,
     replace_month,
     write_csv,
     write_layer,
     write_months,
+    write_version,
 )
-from claimstrata.sources import read_documents
+from claimstrata.sources import read_documents, read_variants, undeclared_fields
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -163,6 +165,32 @@ def checkpoint_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checkpointed(bronze_layer(spark, sf_dir))
 
 
+def _odd_lines(spark: SparkSession, sf_dir: str) -> str:
+    """The path of lines of which some do not fit the schema."""
+
+    def write(path: str) -> None:
+        lines = odd_lines(_use_all_cores(_table(spark, sf_dir, "lineitem")))
+        lines.write.option("maxRecordsPerFile", 1_000_000).text(path)
+
+    return _once(spark, sf_dir, "odd_lines", write)
+
+
+def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, bad = plans.store_checked(spark, _odd_lines(spark, sf_dir), new_folder(spark, "checked"))
+    oid = F.regexp_extract("line", '^(?:\\["|\\{"_id":\\{"\\$oid":")([0-9A-F]+-[0-9]+)', 1)
+    return bad.select(oid.alias("oid"), "reason", F.length("source_file").cast("boolean").alias("has_file"))
+
+
+def checked_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze of the good lines alone."""
+    good, _ = plans.store_checked(spark, _odd_lines(spark, sf_dir), new_folder(spark, "checked"))
+    return plans.bronze(good)
+
+
+def field_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return undeclared_fields(read_variants(spark, _odd_lines(spark, sf_dir)))
+
+
 # Cleaning.
 
 
@@ -333,15 +361,46 @@ def _published(name: str) -> Query:
 
 
 def published_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of every layer that one whole run stores."""
-    counts = [
-        df.select(F.lit(name).alias("layer")).groupBy("layer").agg(F.count(F.lit(1)).alias("n"))
-        for name, df in _run(spark, sf_dir).stored.items()
+    """Rows of every layer that one whole run stores, as counted while they were written."""
+    figures = _run(spark, sf_dir).figures
+    rows = [(name, found.rows) for name, found in figures.items() if name != "distributions"]
+    return spark.createDataFrame(rows, "layer string, n long")
+
+
+def published_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULLs of every column of bronze, silver and the policy join, and sums of those of whole numbers."""
+    wire(spark, sf_dir)
+    source = _stored[(spark.sparkContext.applicationId, sf_dir.rstrip("/"), "wire")]
+    target = new_folder(spark, "run")
+    layers = plans.publish(spark, source, target, AS_OF, (YEAR, MONTH), column_figures=True)
+    rows = [
+        (layer, name, nulls, layers.figures[layer].sums.get(name))
+        for layer in ("bronze", "silver", "claim_policy")
+        for name, nulls in layers.figures[layer].nulls.items()
     ]
-    result = counts[0]
-    for frame in counts[1:]:
-        result = result.unionByName(frame)
-    return result
+    return spark.createDataFrame(rows, "layer string, column string, nulls long, total long")
+
+
+def csv_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze from the current version of an export that was replaced once."""
+    rows = bronze_layer(spark, sf_dir)
+    path = new_folder(spark, "versions")
+    write_version(spark, path, lambda folder: write_csv(rows.where("policy_id IS NULL"), f"{folder}/bronze"))
+    write_version(spark, path, lambda folder: write_csv(rows, f"{folder}/bronze"))
+    return read_version(spark, path, "bronze", rows.schema)
+
+
+def metrics_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Policy metrics from partial figures of a batch per document year, one of which came twice."""
+    rows = claim_rows(spark, sf_dir)
+    path = new_folder(spark, "partials")
+    years = sorted(row["year"] for row in rows.select("year").distinct().collect())
+    *early, late = years
+    for year in [*early, early[0]]:
+        plans.store_batch(rows.where(F.col("year") == year), path, str(year))
+    metrics = write_layer(plans.merged_metrics(plans.read_batches(spark, path)), new_folder(spark, "metrics"))
+    changed = plans.store_batch(rows.where(F.col("year") == late), path, str(late))
+    return plans.refreshed_metrics(metrics, plans.read_batches(spark, path), changed)
 
 
 QUERIES: dict[str, Query] = {
@@ -352,6 +411,9 @@ QUERIES: dict[str, Query] = {
     "mask_fields": mask_fields,
     "bronze": bronze,
     "checkpoint_bronze": checkpoint_bronze,
+    "rejected_lines": rejected_lines,
+    "checked_bronze": checked_bronze,
+    "field_drift": field_drift,
     "silver_project": silver_project,
     "stamp_etl_date": stamp_etl_date,
     "fill_nulls": fill_nulls,
@@ -363,6 +425,7 @@ QUERIES: dict[str, Query] = {
     "policy_total_claims": _one_metric("total_claims"),
     "policy_total_amount": _one_metric("total_claim_amount"),
     "policy_avg_amount": _one_metric("avg_claim_amount"),
+    "metrics_by_batch": metrics_by_batch,
     "enrich_policy_metrics": enrich_policy_metrics,
     "enrich_rows": enrich_rows,
     "enrich_silver": enrich_silver,
@@ -381,7 +444,9 @@ QUERIES: dict[str, Query] = {
     "monthly_silver": monthly_silver,
     "csv_roundtrip": csv_roundtrip,
     "csv_rows": csv_rows,
+    "csv_version": csv_version,
     "published_rows": published_rows,
+    "published_columns": published_columns,
     "published_silver": _published("silver"),
     "published_claim_policy": _published("claim_policy"),
     "published_age_group": _published("age_group"),

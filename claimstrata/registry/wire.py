@@ -55,6 +55,28 @@ def wire_documents(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def odd_lines(lineitem: DataFrame) -> DataFrame:
+    """The documents as text lines, some broken off, of another type, or with undeclared fields.
+
+    Which of them follows from the order number; ``FIXTURES.md`` lists the rules.
+    """
+    docs = wire_documents(lineitem)
+    fields = docs.columns
+    order = F.col("revenue.revenue_id.$numberInt").cast("long")
+    plain = F.to_json(F.struct(*fields))
+    untyped = F.to_json(F.struct(*(F.lit(5).alias("sale") if name == "sale" else F.col(name) for name in fields)))
+    loyalty = F.struct(F.lit("gold").alias("tier"), F.array(order, F.lit(2)).alias("points")).alias("loyalty")
+    drifted = F.to_json(F.struct(*fields, loyalty, (order % 2 == 0).alias("renewed")))
+    text = (
+        F.when(order % 53 == 0, F.substring(plain, 1, 60))
+        .when(order % 59 == 0, F.to_json(F.array(F.col("_id.$oid"))))
+        .when(order % 61 == 0, untyped)
+        .when(order % 7 == 0, drifted)
+        .otherwise(plain)
+    )
+    return docs.select(text.alias("value"))
+
+
 def _whole(number: Column) -> Column:
     return F.floor(number).cast("bigint")
 

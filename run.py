@@ -12,7 +12,7 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from claimstrata.plans import Layers, export_csv, publish
+from claimstrata.plans import Layers, export_csv, export_csv_version, publish
 from claimstrata.session import settings_for, source_bytes
 from claimstrata.sources import read_documents
 
@@ -27,6 +27,12 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     )
     parser.add_argument("--month", default="2023-03", help="sale month of the slice, as yyyy-mm")
     parser.add_argument("--gold-from", choices=("bronze", "silver"), default="bronze")
+    parser.add_argument(
+        "--csv-version", help="folder in which the CSV exports become a new version, seen whole or not at all"
+    )
+    parser.add_argument(
+        "--checked", action="store_true", help="store lines that do not fit the schema beside the documents"
+    )
     parser.add_argument("--input-bytes", type=int, help="size of the source, by default that of its files")
     return parser.parse_args(arguments)
 
@@ -39,10 +45,12 @@ def run(spark: SparkSession, options: argparse.Namespace) -> Layers:
         spark.conf.set(key, value)
     year, month = map(int, options.month.split("-"))
     layers = publish(
-        spark, options.source, options.target, options.as_of, (year, month), options.gold_from
+        spark, options.source, options.target, options.as_of, (year, month), options.gold_from, options.checked
     )
     if options.csv:
         export_csv(layers, options.csv)
+    if options.csv_version:
+        export_csv_version(layers, options.csv_version)
     return layers
 
 

@@ -13,6 +13,7 @@ TYPES = {
     "double": "DOUBLE",
     "string": "VARCHAR",
     "date": "DATE",
+    "boolean": "BOOLEAN",
 }
 
 

@@ -6,7 +6,7 @@ from claimstrata.registry import queries
 from claimstrata.session import scan_splits, settings_for, source_bytes
 
 SF_DIR = "/root/testdata/sf0.001"
-EAGER = {"checkpoint_bronze", "csv_roundtrip", "csv_rows", "published_rows"}
+EAGER = {"checkpoint_bronze", "csv_roundtrip", "csv_rows", "csv_version", "published_rows"}
 EAGER |= {name for name in queries.QUERIES if name.startswith("published_")}
 
 
