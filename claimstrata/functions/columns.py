@@ -16,7 +16,12 @@ DIGEST_BITS = 256
 _EXPONENT = "eE"
 # Ten digits before the point hold every int; what is cut off may have 28.
 _DECIMAL = "decimal(38,28)"
-_BREAK, _NONE = "\x01", "\x02"
+
+
+def _int(text: Column) -> Column:
+    """Only text that is no plain int takes the way over decimals."""
+    cut = F.translate(text, _EXPONENT, "xx").try_cast(_DECIMAL).try_cast("int")
+    return F.coalesce(text.try_cast("int"), cut)
 
 
 def wrapped_int(path: str) -> Column:
@@ -25,23 +30,16 @@ def wrapped_int(path: str) -> Column:
     A fraction is cut off, as by a plain cast without ANSI mode. Text that is
     no number, has an exponent or does not fit an int gives NULL in both modes.
     """
-    text = F.col(f"{path}.{INT_WRAPPER}")
-    cut = F.translate(text, _EXPONENT, "xx").try_cast(_DECIMAL).try_cast("int")
-    return F.coalesce(text.try_cast("int"), cut)
+    return _int(F.col(f"{path}.{INT_WRAPPER}"))
 
 
 def wrapped_ints(path: str) -> Column:
     """An array of typed wrappers as ``array<int>``, each element as in ``wrapped_int``.
 
     A bad element becomes NULL and the others stay. A NULL array stays NULL and
-    an empty one stays empty. The elements are joined and split again to make
-    exponents no numbers, which keeps the expression in generated code; a
-    higher-order function would leave it.
+    an empty one stays empty.
     """
-    texts = F.col(f"{path}.{INT_WRAPPER}")
-    joined = F.translate(F.array_join(texts, _BREAK, _NONE), _EXPONENT, "xx")
-    cut = F.split(joined, _BREAK).try_cast(f"array<{_DECIMAL}>").try_cast("array<int>")
-    return F.when(F.array_size(texts) > 0, cut).otherwise(texts.try_cast("array<int>"))
+    return F.transform(f"{path}.{INT_WRAPPER}", _int)
 
 
 def sale_day(column: str = "sale_date") -> Column:
