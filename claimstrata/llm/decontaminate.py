@@ -38,7 +38,7 @@ def word_names(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = byte_view(column)
     starts, ends, first = word_spans(data, offsets, ALNUM)
     namer = names(_SEED, True)
-    return namer.of(namer.sums(data), starts, ends), first
+    return namer.words(data, starts, ends), first
 
 
 @dataclass

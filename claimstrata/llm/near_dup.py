@@ -43,7 +43,7 @@ def shingles(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = byte_view(column)
     starts, ends, first = word_spans(data, offsets, SPACED)
     namer = names(_SEED, True)
-    words = namer.of(namer.sums(data), starts, ends)
+    words = namer.words(data, starts, ends)
     counts = np.diff(first)
     owner = np.repeat(np.arange(len(counts)), counts)
     found, rows = [], []

@@ -9,12 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 PORTION_BYTES = 1 << 20
+# Sums with weights modulo a power of two tell long words of a known kind badly
+# apart, so those of more bytes have a digest for a name.
+SUMMED_BYTES = 32
 
 
 def portions(
@@ -105,6 +109,8 @@ class Names:
         self.values = random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         if fold_case:
             self.values[65:91] = self.values[97:123]
+        self.key = seed.to_bytes(8, "little")
+        self.fold = bytes(c + 32 if fold_case and 65 <= c <= 90 else c for c in range(256))
         self.base = int(random.integers(1 << 40, 1 << 62)) | 1
         self.powers = np.ones(1, np.uint64)
         self.inverse = np.ones(1, np.uint64)
@@ -137,6 +143,15 @@ class Names:
         return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+    def words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The names of words. Those of short ones are sums, those of long ones keyed digests."""
+        found = self.of(self.sums(data), starts, ends)
+        for i in np.flatnonzero(ends - starts > SUMMED_BYTES):
+            word = data[starts[i] : ends[i]].tobytes().translate(self.fold)
+            found[i] = int.from_bytes(blake2b(word, digest_size=8, key=self.key).digest(), "little")
+        return found
+
+
 @lru_cache(maxsize=None)
 def names(seed: int, fold_case: bool = False) -> Names:
     """One instance per process, so that its tables of powers are made once."""

@@ -67,7 +67,7 @@ def removed_lines(docs):
     for doc_id, text in docs:
         for i, line in enumerate((text or "").split("\n") if text is not None else []):
             tokens = frozenset(words(line))
-            if len(tokens) >= 5:
+            if tokens:
                 lines.append(((doc_id is not None, doc_id or 0), text, i, tokens, len(line)))
     first, places = {}, defaultdict(list)
     for key, text, i, tokens, _ in lines:
