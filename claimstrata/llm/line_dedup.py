@@ -1,4 +1,4 @@
-"""Line deduplication by an exact set-similarity join, in DataFrame functions.
+"""Line deduplication by an exact set-similarity join.
 
 A line is the set of its words, ordered by rarity. Two lines of Jaccard
 similarity 0.8 or more share a word among the first fifth (and one) of either.
@@ -6,110 +6,170 @@ If their first common word is rare, they meet on it. If not, all their common
 words are frequent, and they meet on two that follow each other in both lines,
 within the first two fifths. Lines of up to three words are that similar only
 if their word sets are equal, and meet on the whole set. Lines that meet are
-compared in full if their lengths, the positions of what they share and a
+compared word by word if their lengths, the positions of what they share and a
 bitmap of their words allow the similarity.
+
+Tasks read the texts as byte arrays and take lines, sets and keys from them by
+array operations; Spark shuffles keys and joins. Lines of one word set are one
+class, named by 128 bits.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-
-RARITY_BUCKETS = 1 << 17
-_OTHER_BLANKS = "\t\n\x0b\x0c\r"
-_HASH_BITS = 58
-_LEVELS = 31
-# Words of a bucket with fewer than 255 occurrences are rare.
-_RARE_LEVEL = 8
-# Lines of so many words are similar to those of the same word set only.
-_WHOLE = 3
-# Lines of so many words have a bitmap of 64 bits, longer ones one of 128.
-_SHORT = 80
-# So many lines under one key may lead others; the rest are joined.
-_LEADERS = 2
-# Lines are ordered by these; the first three decide.
-_PLACE = ("id", "line_no", "h", "n", "at", "low", "high")
-
-
-def _words(text: Column) -> Column:
-    """Words between white space; a split at single blanks needs no pattern matcher."""
-    for blank in _OTHER_BLANKS:
-        text = F.replace(text, F.lit(blank), F.lit(" "))
-    return F.array_remove(F.split(text, " "), "")
-
+from pyspark.sql.types import StructType
 
-def _rarity(docs: DataFrame, buckets: int) -> Column:
-    """A number by bucket of word hashes: the logarithm of how often its words occur in all texts.
+from claimstrata.llm.frames import shuffle_partitions, stored, with_package
+from claimstrata.llm.near_dup import distinct
+from claimstrata.llm.texts import SPACED, byte_view, mix, names, portions, word_spans
 
-    Counted over all texts. The table has ``buckets`` small numbers whatever
-    the size of the data and is a constant of the plan.
+# Classes of words that are counted; up to so many small numbers go to every task.
+RARITY_BUCKETS = 1 << 22
+# Lines of so many words are similar to those of the same word set only.
+WHOLE = 3
+# Lines of so many words have a bitmap of 64 bits, longer ones one of 128.
+SHORT = 80
+# Words of a class that occurs less often than 2**RARE_LEVEL - 1 times are rare.
+RARE_LEVEL = 10
+# Two neighbours that both occur at least 2**COMMON_LEVEL - 1 times meet by length too.
+COMMON_LEVEL = 20
+# Classes of documents and lines by which those are picked that have something to compare.
+PICKED = 1 << 23
+PARTS_PER_PARTITION = 8
+
+_SEED = 211
+_BLOCK = 4096
+_NAME_BITS = np.uint64(58)
+_NAME = np.uint64((1 << 58) - 1)
+_HELD_WORDS = 1 << 22
+_HELD_SETS = 1 << 20
+_HELD_ROWS = 1 << 17
+_OUT_ROWS = 1 << 16
+_LINE = "\n"
+
+
+# Word counts.
+
+
+def _count(buckets: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, held, size = np.zeros(buckets, np.int64), [], 0
+        for part in portions(batches, "text"):
+            data, offsets = byte_view(part.column("text"))
+            starts, ends, _ = word_spans(data, offsets, SPACED)
+            held.append((names(_SEED).words(data, starts, ends) % np.uint64(buckets)).astype(np.int64))
+            size += len(starts)
+            if size > _HELD_WORDS:
+                total += np.bincount(np.concatenate(held), minlength=buckets)
+                held, size = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=buckets)
+        found = np.flatnonzero(total)
+        for i in range(0, len(found), _OUT_ROWS):
+            some = found[i : i + _OUT_ROWS]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["bucket", "n"])
+
+    return run
+
+
+def _packed(block: pa.Table) -> pa.Table:
+    """The levels of one block of word classes as bytes."""
+    made = np.zeros(_BLOCK, np.uint8)
+    made[block.column("at").to_numpy()] = block.column("level").to_numpy()
+    return pa.table({"block": block.column("block").slice(0, 1), "levels": pa.array([made.tobytes()], pa.binary())})
+
+
+def word_levels(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> np.ndarray:
+    """By class of words the logarithm of how often its words occur in all texts; 0 for once.
+
+    One byte for each of ``buckets`` classes, whatever the size of the data.
     """
-    words = docs.select(F.explode(_words(F.col("text"))).alias("word"))
-    counts = words.groupBy(_bucket(F.xxhash64("word"), buckets).alias("bucket")).agg(
-        F.least(F.floor(F.log2(F.count(F.lit(1)) + 1)), F.lit(_LEVELS)).alias("level")
+    counts = docs.select("text").mapInArrow(_count(buckets), "bucket long, n long")
+    total = counts.groupBy("bucket").agg(F.sum("n").alias("n"))
+    level = F.when(F.col("n") > 1, F.least(F.floor(F.log2(F.col("n") + 1)), F.lit(31))).otherwise(0)
+    placed = total.select(
+        F.floor(F.col("bucket") / _BLOCK).cast("long").alias("block"),
+        F.pmod("bucket", F.lit(_BLOCK)).alias("at"),
+        level.cast("int").alias("level"),
     )
-    levels = [0] * buckets
-    for row in counts.collect():
-        levels[row["bucket"]] = row["level"]
-    return F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")
-
-
-def _bucket(hashed: Column, buckets: int) -> Column:
-    return F.pmod(hashed, F.lit(buckets)).cast("int")
-
-
-def _keys(line: Column, levels: Column, buckets: int) -> Column:
-    """The different words of a line as numbers, the rarest first.
-
-    The hash decides among words of one level; any order that all lines share
-    gives the same result.
-    """
-    hashes = F.transform(_words(line), lambda word: F.xxhash64(word))
-
-    def key(hashed: Column) -> Column:
-        level = F.coalesce(F.get(levels, _bucket(hashed, buckets)), F.lit(0).cast("long"))
-        return F.shiftleft(level, _HASH_BITS).bitwiseOR(hashed.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)))
-
-    return F.sort_array(F.transform(F.array_distinct(hashes), key))
-
-
-def _lines(docs: DataFrame) -> DataFrame:
-    """``id, th, line_no, line`` of every line that is not empty."""
-    rows = docs.select(
-        F.col("doc_id").alias("id"),
-        F.xxhash64("text").alias("th"),
-        F.posexplode(F.split("text", "\n")).alias("line_no", "line"),
+    levels = np.zeros(-(-buckets // _BLOCK) * _BLOCK, np.uint8)
+    for row in placed.groupBy("block").applyInArrow(_packed, "block long, levels binary").collect():
+        levels[row.block * _BLOCK :][:_BLOCK] = np.frombuffer(row.levels, np.uint8)
+    return levels[:buckets]
+
+
+# Lines and their keys.
+
+
+@dataclass
+class Lines:
+    """The lines with a word of some rows, and their different words, rarest first."""
+
+    row: np.ndarray
+    line_no: np.ndarray
+    n_chars: np.ndarray
+    words: np.ndarray
+    first: np.ndarray
+    a: np.ndarray
+    b: np.ndarray
+
+    @property
+    def n(self) -> np.ndarray:
+        return np.diff(self.first)
+
+
+def lines_of(column: pa.Array, levels: np.ndarray | None) -> Lines:
+    """Without levels the words are in the order of their names."""
+    data, offsets = byte_view(column)
+    starts, ends, first = word_spans(data, offsets, SPACED)
+    if not len(starts):
+        none = np.zeros(0, np.int64)
+        return Lines(none, none, none, none.astype(np.uint64), np.zeros(1, np.int64), *2 * [none.astype(np.uint64)])
+    name = names(_SEED).words(data, starts, ends)
+    key = name & _NAME
+    if levels is not None:
+        key |= levels[(name % np.uint64(len(levels))).astype(np.int64)].astype(np.uint64) << _NAME_BITS
+    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    breaks = np.flatnonzero(data == ord(_LINE))
+    before = np.searchsorted(breaks, starts)
+    number = before - np.searchsorted(breaks, offsets[:-1])[owner]
+    new = np.r_[True, (owner[1:] != owner[:-1]) | (number[1:] != number[:-1])]
+    heads = np.flatnonzero(new)
+    row, line_no, before = owner[heads], number[heads], before[heads]
+
+    edges = np.r_[breaks, len(data)]
+    begin = np.where(line_no > 0, edges[before - 1] + 1, offsets[row])
+    end = np.minimum(edges[before], offsets[row + 1])
+    signs = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
+
+    words, line = distinct(key, np.cumsum(new) - 1)
+    size = np.bincount(line, minlength=len(heads))
+    place = np.r_[0, np.cumsum(size)]
+    plain = words & _NAME
+    a = mix(np.add.reduceat(mix(plain + np.uint64(1)), place[:-1]) + size.astype(np.uint64))
+    b = np.add.reduceat(mix(plain * np.uint64(3) + np.uint64(2)), place[:-1])
+    return Lines(row, line_no, signs[end] - signs[begin], words, place, a, b)
+
+
+def bitmaps(lines: Lines) -> tuple[np.ndarray, np.ndarray]:
+    """Bits of each line, turned once for each of its words: two halves for a long one."""
+    bit = np.left_shift(np.uint64(1), lines.words & np.uint64(63))
+    upper = (lines.words & np.uint64(64) != 0) & np.repeat(lines.n > SHORT, lines.n)
+    none = np.uint64(0)
+    return tuple(
+        np.bitwise_xor.reduceat(np.where(half, bit, none), lines.first[:-1]) if len(lines.row) else bit
+        for half in (~upper, upper)
     )
-    return rows.where(F.length("line") > 0)
-
-
-def _identity(lines: DataFrame) -> DataFrame:
-    return lines.withColumns({"h": F.xxhash64("line"), "check": F.hash("line")})
 
 
-def _differ(a: Column, b: Column) -> Column:
-    """At least so many words are in one of two lines only: each turns one bit.
-
-    A long line has 128 bits; its two halves together are the 64 of a short one.
-    """
-    low, high = a["low"].bitwiseXOR(b["low"]), a["high"].bitwiseXOR(b["high"])
-    short = F.least(a["n"], b["n"]) <= _SHORT
-    return F.when(short, F.bit_count(low.bitwiseXOR(high))).otherwise(F.bit_count(low) + F.bit_count(high))
-
-
-def _allow(a: Column, b: Column) -> Column:
-    """Whether sizes, positions and bitmaps of two lines that share a key allow the similarity."""
-    total = a["n"] + b["n"]
-    room = F.least(a["at"], b["at"]) + F.least(a["n"] - a["at"], b["n"] - b["at"])
-    sizes = 5 * F.least(a["n"], b["n"]) >= 4 * F.greatest(a["n"], b["n"])
-    return (9 * _differ(a, b) <= total) & sizes & (9 * room >= 4 * total)
-
-
-def _index(classes: DataFrame, levels: Column, buckets: int) -> DataFrame:
-    """``key`` and the columns of ``_PLACE``: a row for each key on which similar lines must meet.
+def line_keys(lines: Lines) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``line, key, at``: the keys on which similar lines must meet, and where in the line's order they stand.
 
     Let x have n words, a of them not in y, and y have b others. Jaccard 0.8
     means a + 0.8 b <= 0.2 n, so the first common word has a position (from 0)
@@ -124,131 +184,382 @@ def _index(classes: DataFrame, levels: Column, buckets: int) -> DataFrame:
     n div 5 of them, the pairs of neighbours from position r to that bound less r.
     So many pairs exist if the n - a common words are at least a + b - r + 2,
     which holds from four words on (a = 0 and b at most 1 for four; a + b at
-    most 1 for five). Up to ``_WHOLE`` words a and b are 0, and the hash of all
+    most 1 for five). Up to ``WHOLE`` words a and b are 0, and the hash of all
     the words is the only key.
-    """
-    line = [name for name in _PLACE if name != "at"]
-    # The line itself must not stand beside each of its words.
-    keyed = classes.select(
-        "h", "best.id", "best.line_no", "copies", "one", _keys(F.col("best.line"), levels, buckets).alias("keys")
-    )
-    sized = keyed.withColumn("n", F.coalesce(F.size("keys"), F.lit(0)))
-    # Bits turned once for each word, so that long lines do not end with all bits set.
-    turned = "coalesce(aggregate(keys, 0L, (b, k) -> IF({}, b ^ shiftleft(1L, int(k & 63)), b)), 0L)"
-    low = turned.format(f"n <= {_SHORT} OR (k & 64) = 0")
-    high = f"IF(n <= {_SHORT}, 0L, {turned.format('(k & 64) <> 0')})"
-    bits = {"low": F.expr(low), "high": F.expr(high)}
-    # Lines without words have no prefix; a filter would make the keys twice.
-    none = "n < 1 OR copies < 1 OR NOT one"
-    reach = "2 * int(n div 5) + int(n % 5 = 4) + 2"
-    prefix = F.expr(f"slice(keys, 1, IF({none}, 0, IF(n <= {_WHOLE}, n, least(n, {reach}))))")
-    # Nor may all its words stand beside each of them.
-    short = sized.withColumns(bits | {"prefix": prefix}).select(*line, "prefix")
-    rare = F.expr(f"size(filter(slice(prefix, 1, int(n div 5) + 1), k -> k < {_RARE_LEVEL << _HASH_BITS}L))")
-    short = short.withColumn("r", rare)
-    pairs = "IF(size(prefix) < 2 OR r > int(n div 5), 0, size(prefix) - 1 - 2 * r)"
-    follow = f"transform(slice(prefix, r + 1, {pairs}), (k, i) -> xxhash64(k, prefix[r + i + 1]))"
-    some = f"concat(slice(prefix, 1, r), {follow})"
-    keys = F.expr(f"IF(size(prefix) > 0 AND n <= {_WHOLE}, array(xxhash64(prefix)), {some})")
-    return short.select(*line, F.posexplode(keys).alias("at", "key")).select(
-        # Numbers that do not compress stand together.
-        "key", "h", "low", "high", "id", "line_no", "n", "at"
-    )
-
-
-def _confirmed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs with ``alike``, from the words of both lines."""
-    lines = classes.where("copies > 0 AND one").select("h", F.col("best.line").alias("line"))
-    pairs = pairs.join(lines.toDF("h", "line_a"), "h")
-    pairs = pairs.join(lines.toDF("o", "line_b"), "o")
-    x, y = F.array_distinct(_words(F.col("line_a"))), F.array_distinct(_words(F.col("line_b")))
-    alike = 9 * F.size(F.array_intersect(x, y)) >= 4 * (F.size(x) + F.size(y))
-    return pairs.select("h", alike.alias("alike"))
 
-
-def _led(index: DataFrame) -> DataFrame:
-    """``key, of, o, differ``: of each row but a key's first the earlier line that leads it, if one does.
-
-    The earliest line leads those that may be similar to it, the earliest of
-    the others leads of those, and so on. All passes use one shuffle and one
-    sort.
+    A word that occurs once in all texts meets nothing and gives no key. Pairs
+    of very frequent words are keys together with the class of the line's
+    length (a power of 1.25) and with the next one: similar lines differ by
+    one class at most, and a key that many lines share is dealt out by length.
+    """
+    n = lines.n
+    first = lines.first[:-1]
+    if not len(n):
+        return first, lines.words, first
+    part = n // 5
+    level = (lines.words >> _NAME_BITS).astype(np.int64)
+    rank = np.arange(len(lines.words)) - np.repeat(first, n)
+    rare = (level < RARE_LEVEL) & (rank <= np.repeat(part, n))
+    r = np.add.reduceat(rare.astype(np.int64), first)
+    whole = n <= WHOLE
+
+    single = np.flatnonzero(rare & (level > 0) & ~np.repeat(whole, n))
+    line = [np.flatnonzero(whole), np.repeat(np.arange(len(n)), n)[single]]
+    key = [lines.a[whole], mix(lines.words[single] + np.uint64(5))]
+    at = [np.zeros(whole.sum(), np.int64), rank[single]]
+
+    reach = np.minimum(n, 2 * part + (n % 5 == 4) + 2)
+    pairs = np.where(whole | (r > part), 0, np.maximum(reach - 1 - 2 * r, 0))
+    of = np.repeat(np.arange(len(n)), pairs)
+    step = np.arange(len(of)) - np.repeat(np.cumsum(pairs) - pairs, pairs) + r[of]
+    one, two = lines.words[first[of] + step], lines.words[first[of] + step + 1]
+    made = mix(mix(one + np.uint64(7)) + two)
+    common = np.minimum(one, two) >> _NAME_BITS >= COMMON_LEVEL
+    scale = np.floor(np.log(n[of]) / np.log(1.25) + 1e-9).astype(np.uint64)
+    sized = mix(made + scale + np.uint64(1))
+    line += [of, of[common]]
+    key += [np.where(common, sized, made), mix(made + scale + np.uint64(2))[common]]
+    at += [step, step[common]]
+    return np.concatenate(line), np.concatenate(key), np.concatenate(at)
+
+
+_FOUND = (
+    "line_no int, n_chars long, a long, b long, n int, low long, high long, keys array<long>, ats array<int>"
+)
+
+
+def _signed(values: np.ndarray) -> pa.Array:
+    return pa.array(values.view(np.int64), pa.int64())
+
+
+def _lists(owner: np.ndarray, values: np.ndarray, size: int, kind: pa.DataType) -> pa.Array:
+    order = np.argsort(owner, kind="stable")
+    ends = np.r_[0, np.cumsum(np.bincount(owner, minlength=size))].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values[order], kind))
+
+
+def _found(levels):
+    """Lines with their figures; the keys of a word set go with its first line in the task."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.frombuffer(levels.value, np.uint8)
+        sent: set[tuple[int, int]] = set()
+        for part in portions(batches, "text"):
+            lines = lines_of(part.column("text"), table)
+            size = len(lines.row)
+            fresh = np.zeros(size, bool)
+            for i, name in enumerate(zip(lines.a.tolist(), lines.b.tolist())):
+                if name not in sent:
+                    sent.add(name)
+                    fresh[i] = True
+            if len(sent) > _HELD_SETS:
+                sent.clear()
+            low, high = bitmaps(lines)
+            owner, key, at = line_keys(lines)
+            keep = fresh[owner]
+            owner, key, at = owner[keep], key[keep], at[keep]
+            taken = pa.array(lines.row)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("id").take(taken),
+                    part.column("th").take(taken),
+                    pa.array(lines.line_no, pa.int32()),
+                    pa.array(lines.n_chars, pa.int64()),
+                    _signed(lines.a),
+                    _signed(lines.b),
+                    pa.array(lines.n, pa.int32()),
+                    _signed(low),
+                    _signed(high),
+                    _lists(owner, key.view(np.int64), size, pa.int64()),
+                    _lists(owner, at, size, pa.int32()),
+                ],
+                names=["id", "th", *(x.split(" ")[0] for x in _FOUND.split(", "))],
+            )
+
+    return run
+
+
+# Lines that meet.
+
+
+def _differ(x: dict, y: dict) -> np.ndarray:
+    """At least so many words are in one of two lines only; both halves make the bitmap of a short line."""
+    low, high = x["low"] ^ y["low"], x["high"] ^ y["high"]
+    apart = np.bitwise_count(low).astype(np.int64) + np.bitwise_count(high)
+    short = np.minimum(x["n"], y["n"]) <= SHORT
+    return np.where(short, np.bitwise_count(low ^ high), apart)
+
+
+def _allowed(x: dict, y: dict, differ: np.ndarray) -> np.ndarray:
+    """Whether sizes, positions and bitmaps of lines that share a key allow the similarity."""
+    small, large = np.minimum(x["n"], y["n"]), np.maximum(x["n"], y["n"])
+    room = np.minimum(x["at"], y["at"]) + np.minimum(x["n"] - x["at"], y["n"] - y["at"])
+    total = small + large
+    return (9 * differ <= total) & (5 * small >= 4 * large) & (9 * room >= 4 * total)
+
+
+_PLACE = ("key", "a", "b", "n", "at", "low", "high")
+
+
+def _pairs(rows: dict, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which pairs of rows may be similar, with the difference of their bitmaps, and which are of one class."""
+    x, y = ({name: rows[name][i] for name in _PLACE} for i in (left, right))
+    differ = _differ(x, y)
+    same = (x["a"] == y["a"]) & (x["b"] == y["b"])
+    return _allowed(x, y, differ) & ~same, differ, same
+
+
+def _lead(rows: dict) -> tuple[list, np.ndarray]:
+    """Pairs of a line and the line that leads it, for rows sorted by key and place.
+
+    The earliest line of a key leads those that may be similar to it, the
+    earliest of the others leads of those, and so on. Returns pairs of row
+    numbers with the difference of their bitmaps, and which rows lead.
     """
-    by_place = Window.partitionBy("key").orderBy("id", "line_no", "h")
-    place = F.struct(*_PLACE)
-    # Plain columns first: a struct made here would be shuffled beside them.
-    rows = index.withColumns({f"first_{name}": F.first(name).over(by_place) for name in _PLACE})
-    rows = rows.withColumn("leader_0", F.struct(*(F.col(f"first_{name}").alias(name) for name in _PLACE)))
-    open_row, leader = F.lit(True), F.lit(None)
-    for turn in range(_LEADERS):
-        name = f"leader_{turn}"
-        if turn:
-            following = F.first(F.when(open_row, place), ignorenulls=True).over(by_place)
-            rows = rows.withColumn(name, following)
-        led = F.coalesce(_allow(place, F.col(name)), F.lit(False))
-        leader = F.coalesce(leader, F.when(led & (F.col(name)["h"] != F.col("h")), F.col(name)))
-        open_row = open_row & ~led
-    rows = rows.where("leader_0.h <> h").select("key", place.alias("of"), leader.alias("leader"))
-    return rows.select("key", "of", F.col("leader.h").alias("o"), _differ(F.col("of"), F.col("leader")).alias("differ"))
-
-
-def _candidates(rows: DataFrame, index: DataFrame) -> DataFrame:
-    """``h, o, differ``: the line that leads a row, or all earlier lines under its key that may be similar.
-
-    One join for both, and the index as it is, so that Spark shuffles it once.
+    key = rows["key"]
+    leads = np.zeros(len(key), bool)
+    left, pairs = np.arange(len(key)), []
+    while len(left):
+        new = np.r_[True, key[left][1:] != key[left][:-1]]
+        leader = left[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        leads[left[new]] = True
+        rest = ~new
+        left, leader = left[rest], leader[rest]
+        led, differ, same = _pairs(rows, left, leader)
+        pairs.append((left[led], leader[led], differ[led]))
+        left = left[~(led | same)]
+        # A row without another one of its key needs no further look.
+        if len(left):
+            k = key[left]
+            alone = np.r_[True, k[1:] != k[:-1]] & np.r_[k[1:] != k[:-1], True]
+            leads[left[alone]] = True
+            left = left[~alone]
+    return pairs, leads
+
+
+def _unled(rows: dict, leads: np.ndarray, of: np.ndarray) -> Iterator[tuple]:
+    """Pairs of leading rows and the earlier rows of their key that are led, some at a time."""
+    key = rows["key"]
+    led = np.flatnonzero(~leads)
+    # Led rows of the key before each leading row.
+    begin = np.searchsorted(led, np.searchsorted(key, key[of]))
+    many = np.searchsorted(led, of) - begin
+    of, begin, many = of[many > 0], begin[many > 0], many[many > 0]
+    total = np.cumsum(many)
+    start = 0
+    while start < len(of):
+        before = total[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(total, before + _HELD_WORDS, "right")))
+        sizes = many[start:stop]
+        left = np.repeat(of[start:stop], sizes)
+        step = np.arange(len(left)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        right = led[np.repeat(begin[start:stop], sizes) + step]
+        near, differ, _ = _pairs(rows, left, right)
+        yield left[near], right[near], differ[near]
+        start = stop
+
+
+_LED = "a long, b long, oa long, ob long, differ int"
+
+
+def _leaders(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidates of a partition that is sorted by key and place.
+
+    Of a key that fills the buffer only the leaders are held on to. A later
+    line of it that no leader leads is sent without a partner; it has to meet
+    the lines that were let go elsewhere.
     """
-    x, y = rows.alias("x"), index.alias("y")
-    a, b = F.col("x.of"), {name: F.col(f"y.{name}") for name in _PLACE}
-    # Cheap comparisons of numbers come before that of places.
-    meet = F.col("x.o").isNull() & _allow(a, b) & (b["h"] != a["h"]) & (F.struct(*b.values()) < a)
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & meet, "left").select(
-        a["h"].alias("h"),
-        F.coalesce("x.o", b["h"]).alias("o"),
-        F.coalesce("x.differ", _differ(a, b)).alias("differ"),
+    held: dict[str, np.ndarray] = {}
+
+    def settled(last: bool) -> Iterator[pa.RecordBatch]:
+        nonlocal held
+        if not held or not len(held["key"]):
+            return
+        key, old = held["key"], held["old"]
+        tail = 0
+        if not last and key[0] != key[-1]:
+            tail = int(np.flatnonzero(key != key[-1])[-1] + 1)
+        whole = tail or len(key)
+        rows = {name: held[name][:whole] for name in _PLACE}
+        pairs, leads = _lead(rows)
+        # Rows of the key from which some were let go before.
+        cut = (rows["key"] == key[0]) & old[0]
+        pairs += _unled(rows, leads, np.flatnonzero(leads & ~cut))
+        x, y, differ = (np.concatenate([p[i] for p in pairs]) for i in range(3))
+        fresh = ~old[:whole][x]
+        x, y, differ = x[fresh], y[fresh], differ[fresh]
+        bare = np.flatnonzero(leads & cut & ~old[:whole])
+        none = pa.nulls(len(bare), pa.int64())
+        of = np.concatenate([x, bare])
+        yield pa.RecordBatch.from_arrays(
+            [
+                *(_signed(rows[name][of]) for name in ("a", "b")),
+                *(pa.concat_arrays([_signed(rows[name][y]), none]) for name in ("a", "b")),
+                pa.concat_arrays([pa.array(differ, pa.int32()), none.cast(pa.int32())]),
+            ],
+            names=[field.split(" ")[0] for field in _LED.split(", ")],
+        )
+        if tail or last:
+            held = {name: values[whole:] for name, values in held.items()}
+        else:
+            held = {name: values[leads] for name, values in held.items()}
+            held["old"][:] = True
+
+    for batch in batches:
+        rows = {name: batch.column(name).to_numpy() for name in _PLACE}
+        # Keys stay signed, as Spark has sorted them.
+        rows = {name: x.astype(np.int64) if name in ("key", "n", "at") else x.view(np.uint64) for name, x in rows.items()}
+        rows["old"] = np.zeros(batch.num_rows, bool)
+        held = {name: np.concatenate([held[name], x]) if held else x for name, x in rows.items()}
+        if len(held["key"]) > _HELD_ROWS + int(held["old"].sum()):
+            yield from settled(False)
+    yield from settled(True)
+
+
+# Comparison of word sets.
+
+
+def _sets(picked):
+    """The word sets of lines whose class is picked, once for each task."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(np.frombuffer(picked.value, np.uint8), bitorder="little").astype(bool)
+        sent: set[tuple[int, int]] = set()
+        for part in portions(batches, "text"):
+            lines = lines_of(part.column("text"), None)
+            take = np.flatnonzero(bits[(lines.a % np.uint64(PICKED)).astype(np.int64)])
+            fresh = []
+            for i in take.tolist():
+                name = int(lines.a[i]), int(lines.b[i])
+                if name not in sent:
+                    sent.add(name)
+                    fresh.append(i)
+            if len(sent) > _HELD_SETS:
+                sent.clear()
+            words = [lines.words[lines.first[i] : lines.first[i + 1]].tobytes() for i in fresh]
+            yield pa.RecordBatch.from_arrays(
+                [_signed(lines.a[fresh]), _signed(lines.b[fresh]), pa.array(words, pa.binary())], names=["a", "b", "words"]
+            )
+
+    return run
+
+
+def _compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        alike = []
+        for one, two in zip(batch.column("x"), batch.column("y")):
+            x, y = (np.frombuffer(side.as_buffer(), np.uint64) for side in (one, two))
+            at = np.minimum(np.searchsorted(x, y), len(x) - 1)
+            alike.append(bool(9 * np.count_nonzero(x[at] == y) >= 4 * (len(x) + len(y))))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("a"), batch.column("b"), pa.array(alike, pa.bool_())], names=["a", "b", "alike"]
+        )
+
+
+def _picked(pairs: DataFrame) -> bytes:
+    """A bit for each class of lines that a pair names; some lines are picked without need."""
+    sides = pairs.select("a").unionByName(pairs.select(F.col("oa").alias("a")))
+    # Spark counts the bits of a bitmap from 1, and a remainder from 0. As PICKED
+    # divides 2**64, the remainder of a signed number is that of the unsigned one.
+    number = F.pmod("a", F.lit(PICKED)) + 1
+    made = sides.groupBy(F.bitmap_bucket_number(number).alias("at")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits")
+    )
+    size = 4096
+    bits = bytearray(PICKED // 8)
+    for row in made.collect():
+        bits[(row["at"] - 1) * size : row["at"] * size] = row["bits"]
+    return bytes(bits)
+
+
+def _judged(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs ``a, b, oa, ob`` with ``alike``, from the word sets of both lines."""
+    spark = docs.sparkSession
+    picked = spark.sparkContext.broadcast(_picked(pairs))
+    found = docs.select("text").mapInArrow(_sets(picked), "a long, b long, words binary")
+    sets = stored(found.groupBy("a", "b").agg(F.first("words").alias("words")), "line_sets")
+    both = pairs.join(sets.withColumnRenamed("words", "x"), ["a", "b"])
+    both = both.join(sets.select(F.col("a").alias("oa"), F.col("b").alias("ob"), F.col("words").alias("y")), ["oa", "ob"])
+    return both.select("a", "b", "x", "y").mapInArrow(_compared, "a long, b long, alike boolean")
+
+
+def _index(found: DataFrame) -> DataFrame:
+    """A row for each key of each line whose keys were sent."""
+    each = F.explode(F.arrays_zip("keys", "ats")).alias("k")
+    rows = found.where(F.size("keys") > 0).select("id", "line_no", "a", "b", "n", "low", "high", each)
+    return rows.select(
+        F.col("k.keys").alias("key"), "id", "line_no", "a", "b", "n", F.col("k.ats").alias("at"), "low", "high"
     )
-    return pairs.where("o IS NOT NULL")
 
 
-def _repeating(classes: DataFrame, levels: Column, buckets: int) -> DataFrame:
-    """``h`` of the lines to which an earlier line is similar.
+def _repeating(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``a, b`` of the classes to which a class that begins earlier is similar.
 
-    One earlier line is enough. Under each key a line is held against the
+    One earlier class is enough. Under each key a line is held against the
     line that leads it, so the members of a large group of variants are not
-    all paired up, and without one against all earlier lines. Of these
-    candidates the one whose bitmap differs least is compared; lines that it
-    does not settle meet all earlier ones.
+    all paired up. Of these candidates the one whose bitmap differs least is
+    compared; classes that it does not settle meet all that begin earlier.
     """
-    index = _index(classes, levels, buckets)
-    found = _candidates(_led(index), index)
-    closest = found.groupBy("h").agg(F.min(F.struct("differ", "o")).alias("c")).select("h", "c.o")
-    judged = _confirmed(closest, classes)
-    again = judged.where("NOT alike").select("h")
-    open_lines = _index(classes.join(again, "h", "left_semi"), levels, buckets)
-    unled = {"o": F.lit(None).cast("long"), "differ": F.lit(None).cast("int")}
-    every = _candidates(open_lines.select("key", F.struct(*_PLACE).alias("of")).withColumns(unled), index)
-    rest = _confirmed(every.select("h", "o").distinct(), classes)
-    rest = rest.where("alike").select("h").distinct()
-    return judged.where("alike").select("h").unionByName(rest)
+    index = _index(found)
+    sorted_rows = index.repartition("key").sortWithinPartitions("key", "id", "line_no", "a", "b")
+    led = sorted_rows.select("key", "a", "b", "n", "at", "low", "high").mapInArrow(_leaders, _LED)
+    partner = F.when(F.col("oa").isNotNull(), F.struct("differ", "oa", "ob"))
+    closest = stored(led.groupBy("a", "b").agg(F.min(partner).alias("o")), "led_lines")
+    judged = _judged(docs, closest.where("o IS NOT NULL").select("a", "b", "o.oa", "o.ob"))
+    judged = stored(judged, "judged_lines")
+    alike = judged.where("alike").select("a", "b")
+    again = judged.where("NOT alike").select("a", "b").unionByName(closest.where("o IS NULL").select("a", "b"))
+    if again.isEmpty():
+        return alike
+
+    # Only a class's first line counts, as others may follow the line it meets.
+    place = F.struct("id", "line_no")
+    begin = index.join(again, ["a", "b"], "left_semi").groupBy("key", "a", "b", "n", "at", "low", "high")
+    begin = begin.agg(F.min(place).alias("place")).alias("x")
+    other = index.withColumn("place", place).alias("y")
+    small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
+    room = F.least("x.at", "y.at") + F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
+    low, high = (F.col(f"x.{half}").bitwiseXOR(F.col(f"y.{half}")) for half in ("low", "high"))
+    differ = F.when(small <= SHORT, F.bit_count(low.bitwiseXOR(high))).otherwise(F.bit_count(low) + F.bit_count(high))
+    meet = (
+        (F.col("x.key") == F.col("y.key"))
+        & (5 * small >= 4 * large)
+        & (9 * room >= 4 * (small + large))
+        & (9 * differ <= small + large)
+        & (F.col("y.place") < F.col("x.place"))
+        & ((F.col("x.a") != F.col("y.a")) | (F.col("x.b") != F.col("y.b")))
+    )
+    every = begin.join(other, meet).select("x.a", "x.b", F.col("y.a").alias("oa"), F.col("y.b").alias("ob"))
+    rest = _judged(docs, stored(every.distinct(), "open_lines"))
+    return alike.unionByName(rest.where("alike").select("a", "b").distinct())
 
 
 def removed_lines(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> DataFrame:
     """``id, th, line_no, n_chars`` of every line that repeats an earlier one."""
-    lines = _identity(_lines(docs))
-    # All uses of the classes take the same columns, so Spark shuffles them once.
-    classes = lines.groupBy("h").agg(
-        F.min(F.struct("id", "line_no", "line")).alias("best"),
-        F.count(F.lit(1)).alias("copies"),
-        (F.min("check") == F.max("check")).alias("one"),
+    spark = with_package(docs.sparkSession)
+    levels = spark.sparkContext.broadcast(word_levels(docs, buckets).tobytes())
+    read = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"))
+    fields = [*read.select("id", "th").schema.fields, *StructType.fromDDL(_FOUND).fields]
+    found = stored(read.mapInArrow(_found(levels), StructType(fields)), "found_lines")
+
+    place = F.struct("id", "line_no")
+    classes = found.groupBy("a", "b").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"))
+    repeating = _repeating(read, found).withColumn("repeats", F.lit(True))
+    cut = classes.join(repeating, ["a", "b"], "left").where("repeats OR copies > 1")
+    # A class that repeats goes whole, any other but for its first line.
+    cut = cut.select("a", "b", "copies", F.when(F.col("repeats"), None).otherwise(F.col("first")).alias("first"))
+    cut = stored(cut, "cut_lines")
+
+    # Classes of many copies are few and broadcast, so their lines are not gathered.
+    parts = PARTS_PER_PARTITION * shuffle_partitions(spark)
+    limit = -(-(cut.agg(F.sum("copies")).first()[0] or 0) // parts)
+    lines = found.select("id", "th", "line_no", "n_chars", "a", "b")
+    hot = F.broadcast(cut.where(F.col("copies") > limit).drop("copies"))
+    cold = cut.where(F.col("copies") <= limit).drop("copies")
+    met = lines.join(hot, ["a", "b"]).unionByName(
+        lines.join(hot.select("a", "b"), ["a", "b"], "left_anti").join(cold, ["a", "b"])
     )
-    repeating = _repeating(classes, _rarity(docs, buckets), buckets)
-    none = F.lit(None).cast("struct<id:{0},line_no:int>".format(dict(docs.dtypes)["doc_id"]))
-    wholly = repeating.select(F.col("h").alias("of"), none.alias("first"))
-    # Only lines with copies are split into words here; similar ones have some.
-    but_first = classes.where("one AND copies > 1").where(F.size(_words(F.col("best.line"))) > 0)
-    but_first = but_first.select(F.col("h").alias("of"), F.struct("best.id", "best.line_no").alias("first"))
-    cut = wholly.unionByName(but_first)
-    placed = lines.select("id", "th", "line_no", F.length("line").alias("n_chars"), "h")
-    met = placed.join(cut, F.col("h") == F.col("of"))
-    later = F.col("first").isNull() | (F.struct("id", "line_no") > F.col("first"))
+    later = F.col("first").isNull() | (place > F.col("first"))
     return met.where(later).select("id", "th", "line_no", "n_chars")
 
 
@@ -256,21 +567,23 @@ def line_figures(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> DataFrame:
     """``doc_id, n_lines, n_removed, chars_removed, removed`` (line numbers) for every row.
 
     Lines end at a line feed. A line takes part if it has a word (a run
-    without white space); it is removed if an earlier line of the corpus has a word set of Jaccard similarity 0.8 or more to its
-    own, whether or not that line stays. Lines are ordered by document id
-    (null first), then line number, then a hash.
+    without white space); it is removed if an earlier line of the corpus has a
+    word set of Jaccard similarity 0.8 or more to its own, whether or not that
+    line stays. Lines are ordered by document id (null first), then line number.
 
     A null text has no lines, an empty one a single empty line that stays.
     Rows equal in id and text are one document; of rows that share only the id,
-    equal lines of one number both stay. Different lines of one 64-bit hash, told
-    apart by a second one, all stay. Other columns are ignored. An
-    empty table gives an empty one.
-
-    Equal lines are one class after a grouping with partial results, so a line
-    of a third of all rows costs one row per task. Rarity comes from a count
-    over all texts in ``buckets`` classes of words (128 K small numbers in the
-    plan, whatever the size of the data). No candidate is capped, and groups of
-    similar lines are not paired up in full.
+    equal lines of one number both stay. Words count as equal if 58 bits of
+    their names are, and word sets if 128 bits are. Other columns are ignored.
+    An empty table gives an empty one.
+
+    Texts are read three times and not shuffled: for the word counts, for lines
+    and keys, and for the word sets of lines that have a candidate; a fourth
+    time where a line's closest candidate is not similar to it. A line of a
+    third of all rows costs one row with keys for each task. Rarity is a byte
+    for each of ``buckets`` classes of words, and a bit for each of ``PICKED``
+    classes of lines picks those to compare, whatever the size of the data.
+    No candidate is capped, and groups of similar lines are not paired up in full.
     """
     gone = removed_lines(docs, buckets).distinct().groupBy("id", "th").agg(
         F.count(F.lit(1)).alias("n_removed"),
@@ -278,43 +591,55 @@ def line_figures(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> DataFrame:
         F.sort_array(F.collect_list("line_no")).alias("removed"),
     )
     rows = docs.select(
-        "doc_id",
+        F.col("doc_id").alias("doc_id"),
         F.xxhash64("text").alias("th0"),
-        F.coalesce(F.size(F.split("text", "\n")).cast("long"), F.lit(0).cast("long")).alias("n_lines"),
+        (F.length("text") - F.length(F.replace("text", F.lit(_LINE))) + 1).cast("long").alias("n_lines"),
     )
-    rows = rows.withColumn("n_lines", F.greatest(F.col("n_lines"), F.lit(0)))
     found = rows.join(gone, rows["doc_id"].eqNullSafe(gone["id"]) & (rows["th0"] == gone["th"]), "left")
     return found.select(
         "doc_id",
-        "n_lines",
+        F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("chars_removed", F.lit(0)).cast("long").alias("chars_removed"),
         F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
     )
 
 
+def _holds_word(line: Column) -> Column:
+    return F.length(F.trim(F.translate(line, "\t\x0b\x0c\r", "    "))) > 0
+
+
 def drop_lines(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> DataFrame:
-    """Rows with the lines that stay; ``n_chars`` follows the text, other columns are kept.
+    """Rows with the lines that stay; ``n_chars`` follows the text, other columns are kept, whatever their names.
 
     A document that had words and lost all of them to removed lines goes. One
-    that had none, a null or empty text too, stays as it is.
+    that had none, a null or empty text too, stays as it is. Only documents
+    that may lose a line are shuffled, with a column for the whole row.
     """
-    gone = removed_lines(docs, buckets).distinct().groupBy("id", "th").agg(
-        F.collect_list("line_no").alias("_removed")
-    )
-    gone = gone.select(F.col("id").alias("_id"), F.col("th").alias("_th"), "_removed")
-    match = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_th"))
-    found = docs.join(gone, match, "left")
-    lines = F.split("text", "\n")
-    numbers = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed"))
-    left = F.array_join(F.transform(numbers, lambda i: F.get(lines, i)), "\n")
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(left)
+    gone = removed_lines(docs, buckets).distinct().groupBy("id", "th").agg(F.collect_list("line_no").alias("removed"))
+    gone = stored(gone, "removed_lines")
+    row = F.struct(*(F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(docs.columns)))
+    keyed = docs.select(row.alias("row"), F.col("doc_id").alias("key_id"), F.xxhash64("text").alias("key_th"))
+    number = F.pmod("th", F.lit(1 << 20)).alias("number")
+    some = F.broadcast(gone.select(number).distinct())
+    mine = F.pmod("key_th", F.lit(1 << 20)) == F.col("number")
+    same = F.col("key_id").eqNullSafe(F.col("id")) & (F.col("key_th") == F.col("th"))
+    touched = keyed.join(some, mine, "left_semi").join(gone, same, "left")
+    untouched = keyed.join(some, mine, "left_anti")
+
+    place = {name: i for i, name in enumerate(docs.columns)}
+    text = F.col(f"row.c{place['text']}")
+    lines = F.split(text, _LINE)
+    numbers = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed"))
+    left = F.array_join(F.transform(numbers, lambda i: F.get(lines, i)), _LINE)
     # Only lines with words are removed.
-    worded = F.exists(numbers, lambda i: F.size(_words(F.get(lines, i))) > 0)
-    found = found.where(F.col("_removed").isNull() | worded)
-    changed = {"text": text}
-    if "n_chars" in docs.columns:
-        kind = dict(docs.dtypes)["n_chars"]
-        length = F.length(text).cast(kind)
-        changed["n_chars"] = F.when(F.col("_removed").isNull(), F.col("n_chars")).otherwise(length)
-    return found.withColumns(changed).select(*docs.columns)
+    worded = F.exists(numbers, lambda i: _holds_word(F.get(lines, i)))
+    none = F.col("removed").isNull()
+    touched = touched.where(none | worded)
+    changed = {name: F.col(f"row.c{i}") for name, i in place.items()}
+    changed["text"] = F.when(none, text).otherwise(left)
+    if "n_chars" in place:
+        length = F.length(left).cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(none, changed["n_chars"]).otherwise(length)
+    made = touched.select(*(column.alias(name) for name, column in changed.items()))
+    return made.unionByName(untouched.select(*(F.col(f"row.c{i}").alias(name) for name, i in place.items())))
