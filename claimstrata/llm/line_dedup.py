@@ -11,7 +11,7 @@ bitmap of their words allow the similarity.
 
 Tasks read the texts as byte arrays and take lines, sets and keys from them by
 array operations; Spark shuffles keys and joins. Lines of one word set are one
-class, named by 128 bits.
+class, named by 77 bits.
 """
 
 from __future__ import annotations
@@ -33,15 +33,16 @@ from claimstrata.llm.texts import SPACED, byte_view, mix, names, portions, word_
 RARITY_BUCKETS = 1 << 22
 # Lines of so many words are similar to those of the same word set only.
 WHOLE = 3
-# Lines of so many words have a bitmap of 64 bits, longer ones one of 128.
-SHORT = 80
 # Words of a class that occurs less often than 2**RARE_LEVEL - 1 times are rare.
 RARE_LEVEL = 10
 # Two neighbours that both occur at least 2**COMMON_LEVEL - 1 times meet by length too.
 COMMON_LEVEL = 20
 # Classes of documents and lines by which those are picked that have something to compare.
 PICKED = 1 << 23
+KEY_CLASSES = 1 << 20
 PARTS_PER_PARTITION = 8
+# A key's row holds in one number (not negative) 13 bits of the class, the line's words and its place among them.
+NUMBER_BITS, CLASS_BITS = 25, 13
 
 _SEED = 211
 _BLOCK = 4096
@@ -153,19 +154,16 @@ def lines_of(column: pa.Array, levels: np.ndarray | None) -> Lines:
     place = np.r_[0, np.cumsum(size)]
     plain = words & _NAME
     a = mix(np.add.reduceat(mix(plain + np.uint64(1)), place[:-1]) + size.astype(np.uint64))
-    b = np.add.reduceat(mix(plain * np.uint64(3) + np.uint64(2)), place[:-1])
+    b = mix(np.add.reduceat(mix(plain * np.uint64(3) + np.uint64(2)), place[:-1])) >> np.uint64(64 - CLASS_BITS)
+    if size.max() >> NUMBER_BITS:
+        raise ValueError(f"a line has {size.max()} different words; {1 << NUMBER_BITS} are too many")
     return Lines(row, line_no, signs[end] - signs[begin], words, place, a, b)
 
 
-def bitmaps(lines: Lines) -> tuple[np.ndarray, np.ndarray]:
-    """Bits of each line, turned once for each of its words: two halves for a long one."""
+def bitmaps(lines: Lines) -> np.ndarray:
+    """64 bits for each line, of which each of its words turns one."""
     bit = np.left_shift(np.uint64(1), lines.words & np.uint64(63))
-    upper = (lines.words & np.uint64(64) != 0) & np.repeat(lines.n > SHORT, lines.n)
-    none = np.uint64(0)
-    return tuple(
-        np.bitwise_xor.reduceat(np.where(half, bit, none), lines.first[:-1]) if len(lines.row) else bit
-        for half in (~upper, upper)
-    )
+    return np.bitwise_xor.reduceat(bit, lines.first[:-1]) if len(lines.row) else bit
 
 
 def line_keys(lines: Lines) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -224,7 +222,7 @@ def line_keys(lines: Lines) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 _FOUND = (
-    "line_no int, n_chars long, a long, b long, n int, low long, high long, keys array<long>, ats array<int>"
+    "line_no int, n_chars long, a long, b long, bits long, keys array<long>, packs array<long>"
 )
 
 
@@ -232,10 +230,10 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64), pa.int64())
 
 
-def _lists(owner: np.ndarray, values: np.ndarray, size: int, kind: pa.DataType) -> pa.Array:
+def _lists(owner: np.ndarray, values: np.ndarray, size: int) -> pa.Array:
     order = np.argsort(owner, kind="stable")
     ends = np.r_[0, np.cumsum(np.bincount(owner, minlength=size))].astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values[order], kind))
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values[order], pa.int64()))
 
 
 def _found(levels):
@@ -254,10 +252,11 @@ def _found(levels):
                     fresh[i] = True
             if len(sent) > _HELD_SETS:
                 sent.clear()
-            low, high = bitmaps(lines)
             owner, key, at = line_keys(lines)
             keep = fresh[owner]
             owner, key, at = owner[keep], key[keep], at[keep]
+            bits, n = np.uint64(NUMBER_BITS), lines.n.astype(np.uint64)[owner]
+            pack = ((lines.b[owner] << bits | n) << bits) | at.astype(np.uint64)
             taken = pa.array(lines.row)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -267,11 +266,9 @@ def _found(levels):
                     pa.array(lines.n_chars, pa.int64()),
                     _signed(lines.a),
                     _signed(lines.b),
-                    pa.array(lines.n, pa.int32()),
-                    _signed(low),
-                    _signed(high),
-                    _lists(owner, key.view(np.int64), size, pa.int64()),
-                    _lists(owner, at, size, pa.int32()),
+                    _signed(bitmaps(lines)),
+                    _lists(owner, key.view(np.int64), size),
+                    _lists(owner, pack.view(np.int64), size),
                 ],
                 names=["id", "th", *(x.split(" ")[0] for x in _FOUND.split(", "))],
             )
@@ -282,29 +279,37 @@ def _found(levels):
 # Lines that meet.
 
 
-def _differ(x: dict, y: dict) -> np.ndarray:
-    """At least so many words are in one of two lines only; both halves make the bitmap of a short line."""
-    low, high = x["low"] ^ y["low"], x["high"] ^ y["high"]
-    apart = np.bitwise_count(low).astype(np.int64) + np.bitwise_count(high)
-    short = np.minimum(x["n"], y["n"]) <= SHORT
-    return np.where(short, np.bitwise_count(low ^ high), apart)
+_ROW = ("key", "a", "b", "n", "at", "bits")
+
+
+def _unpacked(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+    """The columns of a batch of keys. Keys stay signed, as Spark has sorted them."""
+    pack, mask = batch.column("pack").to_numpy(), (1 << NUMBER_BITS) - 1
+    return {
+        "key": batch.column("key").to_numpy(),
+        "a": batch.column("a").to_numpy(),
+        "b": pack >> (2 * NUMBER_BITS),
+        "n": pack >> NUMBER_BITS & mask,
+        "at": pack & mask,
+        "bits": batch.column("bits").to_numpy().view(np.uint64),
+    }
 
 
 def _allowed(x: dict, y: dict, differ: np.ndarray) -> np.ndarray:
-    """Whether sizes, positions and bitmaps of lines that share a key allow the similarity."""
+    """Whether sizes, positions and bitmaps of lines that share a key allow the similarity.
+
+    At least as many words as bits differ are in one of the lines only.
+    """
     small, large = np.minimum(x["n"], y["n"]), np.maximum(x["n"], y["n"])
     room = np.minimum(x["at"], y["at"]) + np.minimum(x["n"] - x["at"], y["n"] - y["at"])
     total = small + large
     return (9 * differ <= total) & (5 * small >= 4 * large) & (9 * room >= 4 * total)
 
 
-_PLACE = ("key", "a", "b", "n", "at", "low", "high")
-
-
 def _pairs(rows: dict, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Which pairs of rows may be similar, with the difference of their bitmaps, and which are of one class."""
-    x, y = ({name: rows[name][i] for name in _PLACE} for i in (left, right))
-    differ = _differ(x, y)
+    x, y = ({name: rows[name][i] for name in _ROW if name != "key"} for i in (left, right))
+    differ = np.bitwise_count(x["bits"] ^ y["bits"]).astype(np.int64)
     same = (x["a"] == y["a"]) & (x["b"] == y["b"])
     return _allowed(x, y, differ) & ~same, differ, same
 
@@ -370,9 +375,13 @@ def _leaders(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     the lines that were let go elsewhere.
     """
     held: dict[str, np.ndarray] = {}
+    waiting: list[dict[str, np.ndarray]] = []
 
     def settled(last: bool) -> Iterator[pa.RecordBatch]:
         nonlocal held
+        parts = [held, *waiting] if held else waiting
+        held = {name: np.concatenate([part[name] for part in parts]) for name in parts[0]} if parts else {}
+        waiting.clear()
         if not held or not len(held["key"]):
             return
         key, old = held["key"], held["old"]
@@ -380,7 +389,7 @@ def _leaders(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not last and key[0] != key[-1]:
             tail = int(np.flatnonzero(key != key[-1])[-1] + 1)
         whole = tail or len(key)
-        rows = {name: held[name][:whole] for name in _PLACE}
+        rows = {name: held[name][:whole] for name in _ROW}
         pairs, leads = _lead(rows)
         # Rows of the key from which some were let go before.
         cut = (rows["key"] == key[0]) & old[0]
@@ -393,8 +402,8 @@ def _leaders(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = np.concatenate([x, bare])
         yield pa.RecordBatch.from_arrays(
             [
-                *(_signed(rows[name][of]) for name in ("a", "b")),
-                *(pa.concat_arrays([_signed(rows[name][y]), none]) for name in ("a", "b")),
+                *(pa.array(rows[name][of]) for name in ("a", "b")),
+                *(pa.concat_arrays([pa.array(rows[name][y]), none]) for name in ("a", "b")),
                 pa.concat_arrays([pa.array(differ, pa.int32()), none.cast(pa.int32())]),
             ],
             names=[field.split(" ")[0] for field in _LED.split(", ")],
@@ -405,14 +414,13 @@ def _leaders(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = {name: values[leads] for name, values in held.items()}
             held["old"][:] = True
 
+    size = 0
     for batch in batches:
-        rows = {name: batch.column(name).to_numpy() for name in _PLACE}
-        # Keys stay signed, as Spark has sorted them.
-        rows = {name: x.astype(np.int64) if name in ("key", "n", "at") else x.view(np.uint64) for name, x in rows.items()}
-        rows["old"] = np.zeros(batch.num_rows, bool)
-        held = {name: np.concatenate([held[name], x]) if held else x for name, x in rows.items()}
-        if len(held["key"]) > _HELD_ROWS + int(held["old"].sum()):
+        waiting.append(_unpacked(batch) | {"old": np.zeros(batch.num_rows, bool)})
+        size += batch.num_rows
+        if size > _HELD_ROWS:
             yield from settled(False)
+            size = int((~held["old"]).sum())
     yield from settled(True)
 
 
@@ -485,11 +493,15 @@ def _judged(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def _index(found: DataFrame) -> DataFrame:
     """A row for each key of each line whose keys were sent."""
-    each = F.explode(F.arrays_zip("keys", "ats")).alias("k")
-    rows = found.where(F.size("keys") > 0).select("id", "line_no", "a", "b", "n", "low", "high", each)
-    return rows.select(
-        F.col("k.keys").alias("key"), "id", "line_no", "a", "b", "n", F.col("k.ats").alias("at"), "low", "high"
-    )
+    each = F.explode(F.arrays_zip("keys", "packs")).alias("k")
+    rows = found.where(F.size("keys") > 0).select("id", "line_no", "a", "bits", each)
+    return rows.select(F.col("k.keys").alias("key"), "id", "line_no", "a", F.col("k.packs").alias("pack"), "bits")
+
+
+def _unpack(side: str) -> tuple[Column, Column, Column]:
+    """Class bits, number of words and place of a row's packed number."""
+    pack, mask = F.col(f"{side}.pack"), F.lit((1 << NUMBER_BITS) - 1)
+    return F.shiftright(pack, 2 * NUMBER_BITS), F.shiftright(pack, NUMBER_BITS).bitwiseAND(mask), pack.bitwiseAND(mask)
 
 
 def _repeating(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -501,8 +513,8 @@ def _repeating(docs: DataFrame, found: DataFrame) -> DataFrame:
     compared; classes that it does not settle meet all that begin earlier.
     """
     index = _index(found)
-    sorted_rows = index.repartition("key").sortWithinPartitions("key", "id", "line_no", "a", "b")
-    led = sorted_rows.select("key", "a", "b", "n", "at", "low", "high").mapInArrow(_leaders, _LED)
+    sorted_rows = index.repartition("key").sortWithinPartitions("key", "id", "line_no", "a")
+    led = sorted_rows.select("key", "a", "pack", "bits").mapInArrow(_leaders, _LED)
     partner = F.when(F.col("oa").isNotNull(), F.struct("differ", "oa", "ob"))
     closest = stored(led.groupBy("a", "b").agg(F.min(partner).alias("o")), "led_lines")
     judged = _judged(docs, closest.where("o IS NOT NULL").select("a", "b", "o.oa", "o.ob"))
@@ -514,22 +526,28 @@ def _repeating(docs: DataFrame, found: DataFrame) -> DataFrame:
 
     # Only a class's first line counts, as others may follow the line it meets.
     place = F.struct("id", "line_no")
-    begin = index.join(again, ["a", "b"], "left_semi").groupBy("key", "a", "b", "n", "at", "low", "high")
-    begin = begin.agg(F.min(place).alias("place")).alias("x")
-    other = index.withColumn("place", place).alias("y")
-    small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-    room = F.least("x.at", "y.at") + F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
-    low, high = (F.col(f"x.{half}").bitwiseXOR(F.col(f"y.{half}")) for half in ("low", "high"))
-    differ = F.when(small <= SHORT, F.bit_count(low.bitwiseXOR(high))).otherwise(F.bit_count(low) + F.bit_count(high))
+    number = F.shiftright("pack", 2 * NUMBER_BITS)
+    mine = index.withColumn("b", number).join(again, ["a", "b"], "left_semi")
+    begin = mine.groupBy("key", "a", "pack", "bits").agg(F.min(place).alias("place"))
+    begin = stored(begin, "open_keys")
+    # Keys that no open line has are not shuffled again.
+    key_class = F.pmod("key", F.lit(KEY_CLASSES)).alias("key_class")
+    some = F.broadcast(begin.select(key_class).distinct())
+    other = index.withColumn("key_class", key_class).join(some, "key_class", "left_semi")
+    other = other.select("key", "a", "pack", "bits", place.alias("place"))
+    (b, n, at), (ob, on, o_at) = _unpack("x"), _unpack("y")
+    small, large = F.least(n, on), F.greatest(n, on)
+    differ = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits")))
     meet = (
         (F.col("x.key") == F.col("y.key"))
         & (5 * small >= 4 * large)
-        & (9 * room >= 4 * (small + large))
+        & (9 * (F.least(at, o_at) + F.least(n - at, on - o_at)) >= 4 * (small + large))
         & (9 * differ <= small + large)
         & (F.col("y.place") < F.col("x.place"))
-        & ((F.col("x.a") != F.col("y.a")) | (F.col("x.b") != F.col("y.b")))
+        & ((F.col("x.a") != F.col("y.a")) | (b != ob))
     )
-    every = begin.join(other, meet).select("x.a", "x.b", F.col("y.a").alias("oa"), F.col("y.b").alias("ob"))
+    every = begin.alias("x").join(other.alias("y"), meet)
+    every = every.select("x.a", b.alias("b"), F.col("y.a").alias("oa"), ob.alias("ob"))
     rest = _judged(docs, stored(every.distinct(), "open_lines"))
     return alike.unionByName(rest.where("alike").select("a", "b").distinct())
 
@@ -574,7 +592,8 @@ def line_figures(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> DataFrame:
     A null text has no lines, an empty one a single empty line that stays.
     Rows equal in id and text are one document; of rows that share only the id,
     equal lines of one number both stay. Words count as equal if 58 bits of
-    their names are, and word sets if 128 bits are. Other columns are ignored.
+    their names are, and word sets if 77 bits are. A line of more than 33
+    million different words is an error. Other columns are ignored.
     An empty table gives an empty one.
 
     Texts are read three times and not shuffled: for the word counts, for lines

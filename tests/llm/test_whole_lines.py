@@ -89,13 +89,13 @@ def test_long_keys_are_let_go_but_for_their_leaders(spark, monkeypatch, held):
     rows = []
     column = pa.array([text for _, text in docs])
     lines = line_dedup.lines_of(column, np.full(1, 12, np.uint8))
-    low, high = line_dedup.bitmaps(lines)
+    bits = line_dedup.bitmaps(lines).view(np.int64)
     owner, key, at = line_dedup.line_keys(lines)
     for i, k, p in zip(owner.tolist(), key.view(np.int64).tolist(), at.tolist()):
-        line = (lines.a.view(np.int64)[i], lines.b.view(np.int64)[i], lines.n[i], p, low.view(np.int64)[i], high.view(np.int64)[i])
-        rows.append((k, i, *map(int, line)))
+        pack = (int(lines.b[i]) << 50) | (int(lines.n[i]) << 25) | p
+        rows.append((k, i, int(lines.a.view(np.int64)[i]), pack, int(bits[i])))
     rows.sort()
-    names = ("key", "place", "a", "b", "n", "at", "low", "high")
+    names = ("key", "place", "a", "pack", "bits")
     table = pa.table({name: [row[j] for row in rows] for j, name in enumerate(names)})
 
     def found(size):
