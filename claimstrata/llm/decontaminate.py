@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimstrata.llm.frames import stored, with_package
+from claimstrata.llm.frames import renamed, stored, with_package
 from claimstrata.llm.texts import ALNUM, appended, byte_view, names, portions, word_spans
 
 WINDOW = 10
@@ -180,8 +180,8 @@ def decontaminate(
     """
     with_package(docs.sparkSession)
     new = tuple(prefix + name for name in FIGURES)
-    keep = [name for name in docs.columns if name not in new]
-    docs = docs.select(*keep)
+    docs, made = renamed(docs.select(*(f"`{name}`" for name in docs.columns if name not in new)), "text")
+    keep = docs.columns
     schema = ", ".join(f"`{name}` {kind}" for name, kind in docs.dtypes)
     blocks = _load(items, block_bytes)
     state = "_hits array<long>, _items array<string>"
@@ -191,11 +191,11 @@ def decontaminate(
         held = windows([x if isinstance(x, str) else None for x in rows["text"]], list(rows["item"]), size)
         index = Index(held, _frequency(docs, held.vocabulary))
         last = i == len(blocks) - 1
-        made = ", ".join(f"`{name}` {kind}" for name, kind in zip(new, FIGURES.values()))
-        frame = frame.mapInArrow(_matcher(index, keep, new, last), f"{schema}, {made if last else state}")
+        figures = ", ".join(f"`{name}` {kind}" for name, kind in zip(new, FIGURES.values()))
+        frame = frame.mapInArrow(_matcher(index, keep, new, last), f"{schema}, {figures if last else state}")
         if not last:
             frame = stored(frame, "decontaminate")
-    return frame
+    return frame.select(*(F.col(inner).alias(name) for name, inner in made.items()), *new)
 
 
 def _matcher(index: Index, keep: list[str], new: tuple[str, ...], last: bool):

@@ -7,8 +7,11 @@ import pathlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimstrata.session import shuffle_partitions
 from claimstrata.sinks.lineage import new_folder
 
+__all__ = ["components", "new_folder", "renamed", "shuffle_partitions", "stored", "with_package"]
+
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read back, which cuts its lineage."""
@@ -17,6 +20,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def renamed(docs: DataFrame, *own: str) -> tuple[DataFrame, dict[str, str]]:
+    """The frame with all columns but ``own`` under made names, and the made name of each column.
+
+    Operators that add columns of their own work on such a frame, so that none
+    of a caller's columns can have the name of one of theirs.
+    """
+    made = {name: name if name in own else f"c{i}" for i, name in enumerate(docs.columns)}
+    return docs.select(*(F.col(f"`{name}`").alias(inner) for name, inner in made.items())), made
+
+
 def with_package(spark: SparkSession) -> SparkSession:
     """The session, with Python workers told where this package lies.
 
@@ -31,10 +44,6 @@ def with_package(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def components(edges: DataFrame) -> DataFrame:
     """``node, label`` for every node of the edges ``a, b``: the smallest node reachable.
 

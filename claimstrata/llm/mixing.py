@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from claimstrata.llm.frames import stored
+from claimstrata.llm.frames import renamed, stored
 
 RESOLUTION = 1000
 TEMPERATURE = 0.5
@@ -202,6 +203,7 @@ def interleave(
     """
     spark = docs.sparkSession
     docs = docs.drop("block", "slot", "place")
+    docs, made = renamed(docs, "doc_id", "source")
     if weights is None:
         sizes = stored(_sizes(docs, temperature), "sizes")
         shares = stored(_listed(sizes, resolution, temperature, max_lanes), "shares")
@@ -211,7 +213,9 @@ def interleave(
         classes = {r["_class"]: r["_w"] for r in rest.groupBy("_class").agg(F.sum("_weight").alias("_w")).collect()}
     else:
         classes = {}
-        given = [(k, int(v)) for k, v in weights.items()]
+        # The period is the sum of the weights, so a common factor goes.
+        common = math.gcd(*(int(v) for v in weights.values())) or 1
+        given = [(k, int(v) // common) for k, v in weights.items()]
         shares = spark.createDataFrame(given, "source string, share long")
     lane = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.asc_nulls_first("source")))
     shares = shares.withColumn("lane", lane)
@@ -271,7 +275,7 @@ def interleave(
         )
         slot = F.expr(_CLIMB)
     return ranked.select(
-        *docs.columns,
+        *(F.col(inner).alias(name) for name, inner in made.items()),
         "block",
         slot.alias("slot"),
         (F.col("_rank") % block_rows).cast("int").alias("place"),

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimstrata.llm.frames import components, shuffle_partitions, stored, with_package
+from claimstrata.llm.frames import components, renamed, shuffle_partitions, stored, with_package
 from claimstrata.llm.texts import SPACED, byte_view, mix, names, portions, word_spans
 
 COLLECTION = 8
@@ -403,7 +403,8 @@ def keep_one(docs: DataFrame, size: int = 5) -> DataFrame:
     best = found.where("group IS NOT NULL").groupBy("group").agg(one).select("one.doc_id", "one.h1", "one.h2")
     found = best.unionByName(found.where("group IS NULL").select("doc_id", "h1", "h2"))
     found = found.select(F.col("doc_id").alias("_id"), F.col("h1").alias("_h1"), F.col("h2").alias("_h2")).distinct()
-    rows = docs.withColumns({"_t1": F.xxhash64("text"), "_t2": F.xxhash64(F.lit(7), "text")})
+    rows, made = renamed(docs, "doc_id", "text")
+    rows = rows.withColumns({"_t1": F.xxhash64("text"), "_t2": F.xxhash64(F.lit(7), "text")})
     match = rows["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_t1") == F.col("_h1")) & (F.col("_t2") == F.col("_h2"))
     kept = rows.join(found, match, "left_semi").dropDuplicates(["doc_id", "_t1", "_t2"])
-    return kept.select(*docs.columns)
+    return kept.select(*(F.col(inner).alias(name) for name, inner in made.items()))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimstrata.llm.frames import renamed
+
 TRAINED_ROLE = "assistant"
 
 
@@ -24,7 +26,9 @@ def common_turns(chosen: Column, rejected: Column) -> Column:
     """The number of leading turns that two conversations share; null equals null."""
     same = F.zip_with(chosen, rejected, lambda a, b: a.eqNullSafe(b))
     differs = F.array_position(same, False)
-    return F.when(differs > 0, differs - 1).otherwise(F.size(same)).cast("int")
+    # Behind the end of the shorter one stand nulls, which are not turns.
+    both = F.least(F.size(chosen), F.size(rejected))
+    return F.when(differs > 0, F.least(differs - 1, both)).otherwise(both).cast("int")
 
 
 def _header(turn: Column) -> Column:
@@ -69,7 +73,9 @@ def format_preferences(pairs: DataFrame) -> DataFrame:
     """
     empty = F.array().cast(dict(pairs.dtypes)["chosen"])
     chosen, rejected = F.coalesce("chosen", empty), F.coalesce("rejected", empty)
-    others = [name for name in pairs.columns if name not in ("chosen", "rejected", "prompt", "prompt_turns")]
+    pairs, made = renamed(pairs.drop("prompt", "prompt_turns"), "chosen", "rejected")
+    others = [name for name in pairs.columns if name not in ("chosen", "rejected")]
+    back = {inner: name for name, inner in made.items()}
     cut = common_turns(F.col("_c"), F.col("_r"))
     rows = pairs.select(*others, chosen.alias("_c"), rejected.alias("_r")).withColumn("prompt_turns", cut)
 
@@ -77,7 +83,7 @@ def format_preferences(pairs: DataFrame) -> DataFrame:
         return masked(F.slice(turns, F.col("prompt_turns") + 1, F.greatest(F.size(turns) - F.col("prompt_turns"), F.lit(0))))
 
     return rows.select(
-        *others,
+        *(F.col(inner).alias(back[inner]) for inner in others),
         "prompt_turns",
         render(F.slice("_c", F.lit(1), F.col("prompt_turns"))).alias("prompt"),
         rest("_c").alias("chosen"),
