@@ -5,13 +5,15 @@ it, and the mean of those of its 4-byte pieces, which also speaks for unknown
 words. A window of words runs through a recurrent layer in either direction,
 attention pools the states, and one unit gives a logit. A text's logit is the
 largest of its overlapping windows, so labels of whole texts train the network
-on the windows that score highest.
+on the windows that score highest. Two networks from different starts judge
+together, and as the largest of many windows is larger by chance, the number of
+windows counts against a text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +32,17 @@ BUCKETS = 1 << 14
 
 @dataclass(frozen=True)
 class Training:
-    """``rows`` labelled texts of each class, of at most ``text_bytes`` bytes, train the network."""
+    """Up to ``rows`` labelled texts of each class train ``networks`` networks.
+
+    Of a text of more than ``text_bytes`` bytes that many come from all over it.
+    """
 
     rows: int = 1500
     text_bytes: int = 8_192
     window: int = 48
     stride: int = 36
-    rounds: int = 6
+    rounds: int = 10
+    networks: int = 2
     batch: int = 256
     rate: float = 0.01
     least_rows: int = 3
@@ -119,7 +125,6 @@ class Network:
         self.weights["word"][0] = 0
         self.weights["word"][1:, 0] = word_odds
         self.weights["piece"][:, 0] = piece_odds
-        self.scale, self.shift = 1.0, 0.0
 
     def numbers(self, found: np.ndarray) -> np.ndarray:
         """Vocabulary rows of word names, 0 for unknown words."""
@@ -222,11 +227,30 @@ class Network:
             found[a:b] = self.forward(x, laid_out(words.ids, x.shape[1], start[a:b], length[a:b], window))
         return found, row, start, length
 
-    def scores(self, words: Words, window: int, stride: int) -> np.ndarray:
+    def best(self, words: Words, window: int, stride: int) -> np.ndarray:
+        """The largest logit of each text."""
         found, row, _, _ = self.logits(words, window, stride)
-        best = np.full(len(words.first) - 1, -np.inf)
-        np.maximum.at(best, row, found)
-        return _sigmoid(self.scale * best + self.shift)
+        made = np.full(len(words.first) - 1, -np.inf)
+        np.maximum.at(made, row, found)
+        return made
+
+
+@dataclass
+class Committee:
+    """Networks whose largest logits are averaged, and what makes a probability of that."""
+
+    networks: list[Network]
+    weights: np.ndarray
+
+    def scores(self, words: Words, window: int, stride: int) -> np.ndarray:
+        mean = np.mean([net.best(words, window, stride) for net in self.networks], axis=0)
+        return _sigmoid(_features(mean, words, window, stride) @ self.weights)
+
+
+def _features(logits: np.ndarray, words: Words, window: int, stride: int) -> np.ndarray:
+    row, _, _ = cut(words.first, window, stride)
+    windows = np.bincount(row, minlength=len(logits))
+    return np.stack([np.clip(logits, -30, 30), np.log(np.maximum(windows, 1)), np.ones(len(logits))], 1)
 
 
 def laid_out(ids: np.ndarray, none: int, start: np.ndarray, length: np.ndarray, window: int) -> np.ndarray:
@@ -249,9 +273,15 @@ def _odds(present: tuple[np.ndarray, np.ndarray], toxic: np.ndarray, size: int)
     return np.log(bad / good / share).astype(np.float32), bad + good - 4
 
 
-def fit(column: pa.Array, toxic: np.ndarray, prior: float, plan: Training) -> Network:
-    """A network trained on texts with a label each; ``prior`` is the share of toxic texts outside."""
+def fit(column: pa.Array, toxic: np.ndarray, prior: float, plan: Training) -> Committee:
+    """Networks trained on texts with a label each; ``prior`` is the share of toxic texts outside."""
     words = read_words(column)
+    nets = [_trained(words, toxic, replace(plan, seed=plan.seed + i)) for i in range(plan.networks)]
+    mean = np.mean([net.best(words, plan.window, plan.stride) for net in nets], axis=0)
+    return Committee(nets, _calibrate(_features(mean, words, plan.window, plan.stride), toxic, prior))
+
+
+def _trained(words: Words, toxic: np.ndarray, plan: Training) -> Network:
     owner = np.repeat(np.arange(len(toxic)), np.diff(words.first))
     odds, rows = _odds((owner, words.ids), toxic, max(1, len(words.names)))
     known = np.flatnonzero(rows[: len(words.names)] >= plan.least_rows)
@@ -280,9 +310,6 @@ def fit(column: pa.Array, toxic: np.ndarray, prior: float, plan: Training) -> Ne
             step += 1
             _descend(net, words, numbers, heads, start, length, toxic[row].astype(np.float32), chosen[a : a + plan.batch], plan, moments, step)
         found = net.logits(words, plan.window, plan.stride)[0]
-    best = np.full(len(toxic), -np.inf)
-    np.maximum.at(best, row, found)
-    net.scale, net.shift = _calibrate(best, toxic, prior)
     return net
 
 
@@ -312,21 +339,32 @@ def _descend(net, words, numbers, heads, start, length, labels, chosen, plan, mo
         net.weights[name] -= (rate * m / (1 - 0.9**step) / fixed).astype(np.float32)
 
 
-def _calibrate(logits: np.ndarray, toxic: np.ndarray, prior: float) -> tuple[float, float]:
-    """Scale and shift after which the logits are those of probabilities under the prior."""
+def _calibrate(features: np.ndarray, toxic: np.ndarray, prior: float) -> np.ndarray:
+    """Weights of logit, logarithm of the windows and one, so that the sum is the logit of a probability.
+
+    The logit counts for a text and the windows count against it or not at all.
+    """
     weight = np.where(toxic, prior / max(1, toxic.sum()), (1 - prior) / max(1, (~toxic).sum()))
-    logits = np.clip(logits, -30, 30)
-    x = np.stack([logits, np.ones(len(logits))], 1)
-    beta = np.array([1.0, 0.0])
-    for _ in range(50):
-        p = _sigmoid(x @ beta)
-        grad = x.T @ (weight * (p - toxic)) + 1e-3 * np.array([beta[0] - 1, 0])
-        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag([1e-3, 1e-9])
-        move = np.linalg.solve(hess, grad)
-        beta -= np.clip(move, -1, 1)
-        if np.abs(move).max() < 1e-6:
-            break
-    return max(float(beta[0]), 0.05), float(beta[1])
+    free = np.array([True, True, True])
+    while True:
+        x = features[:, free]
+        beta = np.array([1.0, 0.0, 0.0])[free]
+        start = beta.copy()
+        for _ in range(50):
+            p = _sigmoid(x @ beta)
+            ridge = np.array([1e-3, 1e-3, 1e-9])[free]
+            grad = x.T @ (weight * (p - toxic)) + ridge * (beta - start)
+            hess = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(ridge)
+            move = np.linalg.solve(hess, grad)
+            beta -= np.clip(move, -1, 1)
+            if np.abs(move).max() < 1e-6:
+                break
+        found = np.zeros(3)
+        found[free] = beta
+        if found[1] <= 0:
+            found[0] = max(found[0], 0.05)
+            return found
+        free[1] = False
 
 
 def held_out(doc_id: Column) -> Column:
@@ -334,13 +372,22 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, plan: Training = Training()) -> Network | float:
-    """A network from a bounded sample of labelled rows, or the share of toxic labels.
+def _excerpt(most: int, pieces: int = 8) -> Column:
+    """The text, or pieces from all over a text of more than ``most`` bytes, of no more bytes together."""
+    size = max(1, most // (4 * pieces) - 1)
+    step = (F.length("text") - size) / (pieces - 1)
+    some = (F.substring("text", F.floor(i * step).cast("int") + 1, F.lit(size)) for i in range(pieces))
+    return F.when(F.octet_length("text") <= most, F.col("text")).otherwise(F.concat_ws(" ", *some))
+
+
+def train(docs: DataFrame, labels: DataFrame, plan: Training = Training()) -> Committee | float:
+    """Networks from a bounded sample of labelled rows, or the share of toxic labels.
 
-    The sample takes up to ``plan.rows`` ids of each class in the order of a
-    hash, of those that have a text of at most ``plan.text_bytes`` bytes: at
-    most ``2 * rows * text_bytes`` bytes come to the driver. Without such rows
-    of both classes there is nothing to learn and the share is the score.
+    The sample takes up to ``plan.rows`` ids of each class that have a text, in
+    the order of a hash, those with a text of at most ``plan.text_bytes`` bytes
+    first; of a longer text excerpts of so many bytes come. At most
+    ``2 * rows * text_bytes`` bytes come to the driver. Without rows of both
+    classes there is nothing to learn and the share is the score.
     """
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
@@ -348,13 +395,15 @@ def train(docs: DataFrame, labels: DataFrame, plan: Training = Training()) -> Ne
     bad, good = totals.get(True, 0), totals.get(False, 0)
     if not bad or not good:
         return float(bad > 0)
-    order = (F.xxhash64(F.lit(plan.seed), "doc_id"), "doc_id")
-    texts = docs.select("doc_id", "text").where(F.octet_length("text") <= plan.text_bytes)
-    usable = known.join(texts.select("doc_id"), "doc_id", "left_semi")
+    order = ("long", F.xxhash64(F.lit(plan.seed), "doc_id"), "doc_id")
+    texts = docs.select("doc_id", "text").where("text IS NOT NULL")
+    long = (F.octet_length("text") > plan.text_bytes).alias("long")
+    usable = known.join(texts.select("doc_id", long).groupBy("doc_id").agg(F.min("long").alias("long")), "doc_id")
     parts = [usable.where(F.col("toxic") == flag).orderBy(*order).limit(plan.rows) for flag in (True, False)]
     sample = F.broadcast(parts[0].unionByName(parts[1]).withColumnRenamed("doc_id", "_id"))
     rows = texts.join(sample, F.col("doc_id") == F.col("_id")).dropDuplicates(["doc_id"])
-    table = rows.select("doc_id", "text", "toxic").toArrow().sort_by("doc_id")
+    rows = rows.select("doc_id", _excerpt(plan.text_bytes).alias("text"), "toxic")
+    table = rows.toArrow().sort_by("doc_id")
     toxic = table.column("toxic").to_numpy().astype(bool)
     if not toxic.any() or toxic.all():
         return bad / (bad + good)
@@ -373,8 +422,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, plan: Training = Training()) ->
     repeated ids train once. Columns of the three names are replaced. An empty
     table gives an empty one.
 
-    The network is trained in the driver on the bounded sample of ``train`` and
-    sent to the tasks; its size does not depend on the data. No document is
+    The networks are trained in the driver on the bounded sample of ``train`` and
+    sent to the tasks; their size does not depend on the data. No document is
     shuffled for scoring.
     """
     with_package(docs.sparkSession)

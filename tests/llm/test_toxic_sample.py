@@ -12,3 +12,15 @@ def test_absent_and_long_texts_take_no_room(spark):
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     net = toxicity.train(frame, spark.createDataFrame(labels, "doc_id long, toxic int"), plan)
     assert not isinstance(net, float)
+
+
+def test_long_texts_train_where_there_are_no_others(spark):
+    plan = toxicity.Training(rows=30, text_bytes=400, rounds=4, networks=1)
+    bad, good = "vile nasty awful words ", "calm kind gentle words "
+    docs = [(i, (bad if i % 2 else good) * 60) for i in range(60)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    rows = toxicity.toxicity(frame, labels, plan).collect()
+    assert all((row.score > 0.5) == (row.doc_id % 2 == 1) for row in rows)
+    sizes = frame.select(toxicity._excerpt(400).alias("t")).selectExpr("max(octet_length(t)) m", "min(octet_length(t)) n").first()
+    assert 80 < sizes.n <= sizes.m <= 400
