@@ -11,7 +11,7 @@ bitmap of their words allow the similarity.
 
 Tasks read the texts as byte arrays and take lines, sets and keys from them by
 array operations; Spark shuffles keys and joins. Lines of one word set are one
-class, named by 77 bits.
+class, named by its number of words, 38 bits of a hash and the bitmap.
 """
 
 from __future__ import annotations
@@ -41,8 +41,8 @@ COMMON_LEVEL = 20
 PICKED = 1 << 23
 KEY_CLASSES = 1 << 20
 PARTS_PER_PARTITION = 8
-# A key's row holds in one number (not negative) 13 bits of the class, the line's words and its place among them.
-NUMBER_BITS, CLASS_BITS = 25, 13
+# Numbers of words, and places of a key among them, have so many bits, hashes of a word set so many.
+NUMBER_BITS, HASH_BITS = 25, 38
 
 _SEED = 211
 _BLOCK = 4096
@@ -117,8 +117,10 @@ class Lines:
     n_chars: np.ndarray
     words: np.ndarray
     first: np.ndarray
-    a: np.ndarray
-    b: np.ndarray
+    whole: np.ndarray
+    kind: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
 
     @property
     def n(self) -> np.ndarray:
@@ -131,7 +133,7 @@ def lines_of(column: pa.Array, levels: np.ndarray | None) -> Lines:
     starts, ends, first = word_spans(data, offsets, SPACED)
     if not len(starts):
         none = np.zeros(0, np.int64)
-        return Lines(none, none, none, none.astype(np.uint64), np.zeros(1, np.int64), *2 * [none.astype(np.uint64)])
+        return Lines(none, none, none, none.astype(np.uint64), np.zeros(1, np.int64), *4 * [none.astype(np.uint64)])
     name = names(_SEED).words(data, starts, ends)
     key = name & _NAME
     if levels is not None:
@@ -153,17 +155,15 @@ def lines_of(column: pa.Array, levels: np.ndarray | None) -> Lines:
     size = np.bincount(line, minlength=len(heads))
     place = np.r_[0, np.cumsum(size)]
     plain = words & _NAME
-    a = mix(np.add.reduceat(mix(plain + np.uint64(1)), place[:-1]) + size.astype(np.uint64))
-    b = mix(np.add.reduceat(mix(plain * np.uint64(3) + np.uint64(2)), place[:-1])) >> np.uint64(64 - CLASS_BITS)
     if size.max() >> NUMBER_BITS:
         raise ValueError(f"a line has {size.max()} different words; {1 << NUMBER_BITS} are too many")
-    return Lines(row, line_no, signs[end] - signs[begin], words, place, a, b)
-
-
-def bitmaps(lines: Lines) -> np.ndarray:
-    """64 bits for each line, of which each of its words turns one."""
-    bit = np.left_shift(np.uint64(1), lines.words & np.uint64(63))
-    return np.bitwise_xor.reduceat(bit, lines.first[:-1]) if len(lines.row) else bit
+    whole = mix(np.add.reduceat(mix(plain + np.uint64(1)), place[:-1]) + size.astype(np.uint64))
+    kind = whole >> np.uint64(64 - HASH_BITS) << np.uint64(NUMBER_BITS) | size.astype(np.uint64)
+    # Each word turns one of 128 bits.
+    bit = np.left_shift(np.uint64(1), plain & np.uint64(63))
+    upper = plain & np.uint64(64) != 0
+    low, high = (np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), place[:-1]) for half in (~upper, upper))
+    return Lines(row, line_no, signs[end] - signs[begin], words, place, whole, kind, low, high)
 
 
 def line_keys(lines: Lines) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -203,7 +203,7 @@ def line_keys(lines: Lines) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     single = np.flatnonzero(rare & (level > 0) & ~np.repeat(whole, n))
     line = [np.flatnonzero(whole), np.repeat(np.arange(len(n)), n)[single]]
-    key = [lines.a[whole], mix(lines.words[single] + np.uint64(5))]
+    key = [lines.whole[whole], mix(lines.words[single] + np.uint64(5))]
     at = [np.zeros(whole.sum(), np.int64), rank[single]]
 
     reach = np.minimum(n, 2 * part + (n % 5 == 4) + 2)
@@ -222,7 +222,7 @@ def line_keys(lines: Lines) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 _FOUND = (
-    "line_no int, n_chars long, a long, b long, bits long, keys array<long>, packs array<long>"
+    "line_no int, n_chars long, kind long, low long, high long, keys array<long>, ats array<long>"
 )
 
 
@@ -241,12 +241,12 @@ def _found(levels):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(levels.value, np.uint8)
-        sent: set[tuple[int, int]] = set()
+        sent: set[tuple[int, int, int]] = set()
         for part in portions(batches, "text"):
             lines = lines_of(part.column("text"), table)
             size = len(lines.row)
             fresh = np.zeros(size, bool)
-            for i, name in enumerate(zip(lines.a.tolist(), lines.b.tolist())):
+            for i, name in enumerate(zip(lines.kind.tolist(), lines.low.tolist(), lines.high.tolist())):
                 if name not in sent:
                     sent.add(name)
                     fresh[i] = True
@@ -255,8 +255,6 @@ def _found(levels):
             owner, key, at = line_keys(lines)
             keep = fresh[owner]
             owner, key, at = owner[keep], key[keep], at[keep]
-            bits, n = np.uint64(NUMBER_BITS), lines.n.astype(np.uint64)[owner]
-            pack = ((lines.b[owner] << bits | n) << bits) | at.astype(np.uint64)
             taken = pa.array(lines.row)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -264,11 +262,9 @@ def _found(levels):
                     part.column("th").take(taken),
                     pa.array(lines.line_no, pa.int32()),
                     pa.array(lines.n_chars, pa.int64()),
-                    _signed(lines.a),
-                    _signed(lines.b),
-                    _signed(bitmaps(lines)),
+                    *(_signed(x) for x in (lines.kind, lines.low, lines.high)),
                     _lists(owner, key.view(np.int64), size),
-                    _lists(owner, pack.view(np.int64), size),
+                    _lists(owner, at, size),
                 ],
                 names=["id", "th", *(x.split(" ")[0] for x in _FOUND.split(", "))],
             )
@@ -279,20 +275,16 @@ def _found(levels):
 # Lines that meet.
 
 
-_ROW = ("key", "a", "b", "n", "at", "bits")
+_CLASS = ("kind", "low", "high")
+_OTHER = ("o_kind", "o_low", "o_high")
+_ROW = ("key", *_CLASS, "n", "at")
 
 
 def _unpacked(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
     """The columns of a batch of keys. Keys stay signed, as Spark has sorted them."""
-    pack, mask = batch.column("pack").to_numpy(), (1 << NUMBER_BITS) - 1
-    return {
-        "key": batch.column("key").to_numpy(),
-        "a": batch.column("a").to_numpy(),
-        "b": pack >> (2 * NUMBER_BITS),
-        "n": pack >> NUMBER_BITS & mask,
-        "at": pack & mask,
-        "bits": batch.column("bits").to_numpy().view(np.uint64),
-    }
+    rows = {name: batch.column(name).to_numpy() for name in ("key", *_CLASS)}
+    mask = (1 << NUMBER_BITS) - 1
+    return rows | {"n": rows["kind"] & mask, "at": batch.column("spot").to_numpy() & mask}
 
 
 def _allowed(x: dict, y: dict, differ: np.ndarray) -> np.ndarray:
@@ -309,8 +301,10 @@ def _allowed(x: dict, y: dict, differ: np.ndarray) -> np.ndarray:
 def _pairs(rows: dict, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Which pairs of rows may be similar, with the difference of their bitmaps, and which are of one class."""
     x, y = ({name: rows[name][i] for name in _ROW if name != "key"} for i in (left, right))
-    differ = np.bitwise_count(x["bits"] ^ y["bits"]).astype(np.int64)
-    same = (x["a"] == y["a"]) & (x["b"] == y["b"])
+    low, high = x["low"] ^ y["low"], x["high"] ^ y["high"]
+    # Bits count alike in signed numbers but for the sign.
+    differ = sum(np.bitwise_count(half.view(np.uint64)).astype(np.int64) for half in (low, high))
+    same = (x["kind"] == y["kind"]) & (differ == 0)
     return _allowed(x, y, differ) & ~same, differ, same
 
 
@@ -364,7 +358,7 @@ def _unled(rows: dict, leads: np.ndarray, of: np.ndarray) -> Iterator[tuple]:
         start = stop
 
 
-_LED = "a long, b long, oa long, ob long, differ int"
+_LED = ", ".join(f"{name} long" for name in (*_CLASS, *_OTHER)) + ", differ int"
 
 
 def _leaders(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -402,8 +396,8 @@ def _leaders(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = np.concatenate([x, bare])
         yield pa.RecordBatch.from_arrays(
             [
-                *(pa.array(rows[name][of]) for name in ("a", "b")),
-                *(pa.concat_arrays([pa.array(rows[name][y]), none]) for name in ("a", "b")),
+                *(pa.array(rows[name][of]) for name in _CLASS),
+                *(pa.concat_arrays([pa.array(rows[name][y]), none]) for name in _CLASS),
                 pa.concat_arrays([pa.array(differ, pa.int32()), none.cast(pa.int32())]),
             ],
             names=[field.split(" ")[0] for field in _LED.split(", ")],
@@ -432,13 +426,13 @@ def _sets(picked):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(np.frombuffer(picked.value, np.uint8), bitorder="little").astype(bool)
-        sent: set[tuple[int, int]] = set()
+        sent: set[tuple[int, int, int]] = set()
         for part in portions(batches, "text"):
             lines = lines_of(part.column("text"), None)
-            take = np.flatnonzero(bits[(lines.a % np.uint64(PICKED)).astype(np.int64)])
+            number = lines.kind >> np.uint64(NUMBER_BITS)
             fresh = []
-            for i in take.tolist():
-                name = int(lines.a[i]), int(lines.b[i])
+            for i in np.flatnonzero(bits[(number % np.uint64(PICKED)).astype(np.int64)]).tolist():
+                name = int(lines.kind[i]), int(lines.low[i]), int(lines.high[i])
                 if name not in sent:
                     sent.add(name)
                     fresh.append(i)
@@ -446,7 +440,8 @@ def _sets(picked):
                 sent.clear()
             words = [lines.words[lines.first[i] : lines.first[i + 1]].tobytes() for i in fresh]
             yield pa.RecordBatch.from_arrays(
-                [_signed(lines.a[fresh]), _signed(lines.b[fresh]), pa.array(words, pa.binary())], names=["a", "b", "words"]
+                [*(_signed(x[fresh]) for x in (lines.kind, lines.low, lines.high)), pa.array(words, pa.binary())],
+                names=[*_CLASS, "words"],
             )
 
     return run
@@ -460,16 +455,15 @@ def _compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.minimum(np.searchsorted(x, y), len(x) - 1)
             alike.append(bool(9 * np.count_nonzero(x[at] == y) >= 4 * (len(x) + len(y))))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("a"), batch.column("b"), pa.array(alike, pa.bool_())], names=["a", "b", "alike"]
+            [*(batch.column(name) for name in _CLASS), pa.array(alike, pa.bool_())], names=[*_CLASS, "alike"]
         )
 
 
 def _picked(pairs: DataFrame) -> bytes:
     """A bit for each class of lines that a pair names; some lines are picked without need."""
-    sides = pairs.select("a").unionByName(pairs.select(F.col("oa").alias("a")))
-    # Spark counts the bits of a bitmap from 1, and a remainder from 0. As PICKED
-    # divides 2**64, the remainder of a signed number is that of the unsigned one.
-    number = F.pmod("a", F.lit(PICKED)) + 1
+    sides = pairs.select("kind").unionByName(pairs.select(F.col("o_kind").alias("kind")))
+    # Spark counts the bits of a bitmap from 1, and a remainder from 0.
+    number = F.pmod(F.shiftright("kind", NUMBER_BITS), F.lit(PICKED)) + 1
     made = sides.groupBy(F.bitmap_bucket_number(number).alias("at")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits")
     )
@@ -481,75 +475,76 @@ def _picked(pairs: DataFrame) -> bytes:
 
 
 def _judged(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs ``a, b, oa, ob`` with ``alike``, from the word sets of both lines."""
-    spark = docs.sparkSession
-    picked = spark.sparkContext.broadcast(_picked(pairs))
-    found = docs.select("text").mapInArrow(_sets(picked), "a long, b long, words binary")
-    sets = stored(found.groupBy("a", "b").agg(F.first("words").alias("words")), "line_sets")
-    both = pairs.join(sets.withColumnRenamed("words", "x"), ["a", "b"])
-    both = both.join(sets.select(F.col("a").alias("oa"), F.col("b").alias("ob"), F.col("words").alias("y")), ["oa", "ob"])
-    return both.select("a", "b", "x", "y").mapInArrow(_compared, "a long, b long, alike boolean")
+    """The first of each pair of classes with ``alike``, from the word sets of both."""
+    picked = docs.sparkSession.sparkContext.broadcast(_picked(pairs))
+    found = docs.select("text").mapInArrow(_sets(picked), "kind long, low long, high long, words binary")
+    sets = stored(found.groupBy(*_CLASS).agg(F.first("words").alias("words")), "line_sets")
+    both = pairs.join(sets.withColumnRenamed("words", "x"), [*_CLASS])
+    both = both.join(sets.toDF(*_OTHER, "y"), [*_OTHER])
+    return both.select(*_CLASS, "x", "y").mapInArrow(_compared, "kind long, low long, high long, alike boolean")
 
 
 def _index(found: DataFrame) -> DataFrame:
-    """A row for each key of each line whose keys were sent."""
-    each = F.explode(F.arrays_zip("keys", "packs")).alias("k")
-    rows = found.where(F.size("keys") > 0).select("id", "line_no", "a", "bits", each)
-    return rows.select(F.col("k.keys").alias("key"), "id", "line_no", "a", F.col("k.packs").alias("pack"), "bits")
-
-
-def _unpack(side: str) -> tuple[Column, Column, Column]:
-    """Class bits, number of words and place of a row's packed number."""
-    pack, mask = F.col(f"{side}.pack"), F.lit((1 << NUMBER_BITS) - 1)
-    return F.shiftright(pack, 2 * NUMBER_BITS), F.shiftright(pack, NUMBER_BITS).bitwiseAND(mask), pack.bitwiseAND(mask)
+    """A row for each key of each line whose keys were sent; ``spot`` is the line number, then the key's place."""
+    each = F.explode(F.arrays_zip("keys", "ats")).alias("k")
+    rows = found.where(F.size("keys") > 0).select("id", "line_no", *_CLASS, each)
+    spot = F.shiftleft(F.col("line_no").cast("long"), NUMBER_BITS).bitwiseOR(F.col("k.ats"))
+    return rows.select(F.col("k.keys").alias("key"), "id", spot.alias("spot"), *_CLASS)
+
+
+def _meeting() -> Column:
+    """The condition on which an open class ``x`` meets a line ``y`` that begins earlier."""
+    mask = F.lit((1 << NUMBER_BITS) - 1)
+    n, on = (F.col(f"{side}.kind").bitwiseAND(mask) for side in "xy")
+    at, o_at = (F.col(f"{side}.spot").bitwiseAND(mask) for side in "xy")
+    small, large = F.least(n, on), F.greatest(n, on)
+    differ = sum(F.bit_count(F.col(f"x.{half}").bitwiseXOR(F.col(f"y.{half}"))) for half in ("low", "high"))
+    x, y = (F.struct(F.col(f"{side}.id"), F.shiftright(f"{side}.spot", NUMBER_BITS).alias("line_no")) for side in "xy")
+    return (
+        (F.col("x.key") == F.col("y.key"))
+        & (5 * small >= 4 * large)
+        & (9 * (F.least(at, o_at) + F.least(n - at, on - o_at)) >= 4 * (small + large))
+        & (9 * differ <= small + large)
+        & (y < x)
+        & ~((F.col("x.kind") == F.col("y.kind")) & (differ == 0))
+    )
 
 
 def _repeating(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``a, b`` of the classes to which a class that begins earlier is similar.
+    """The classes to which a class that begins earlier is similar.
 
     One earlier class is enough. Under each key a line is held against the
     line that leads it, so the members of a large group of variants are not
-    all paired up. Of these candidates the one whose bitmap differs least is
-    compared; classes that it does not settle meet all that begin earlier.
+    all paired up, and one that none leads against all earlier ones. Of these
+    candidates the one whose bitmap differs least is compared; classes that it
+    does not settle meet all that begin earlier.
     """
     index = _index(found)
-    sorted_rows = index.repartition("key").sortWithinPartitions("key", "id", "line_no", "a")
-    led = sorted_rows.select("key", "a", "pack", "bits").mapInArrow(_leaders, _LED)
-    partner = F.when(F.col("oa").isNotNull(), F.struct("differ", "oa", "ob"))
-    closest = stored(led.groupBy("a", "b").agg(F.min(partner).alias("o")), "led_lines")
-    judged = _judged(docs, closest.where("o IS NOT NULL").select("a", "b", "o.oa", "o.ob"))
-    judged = stored(judged, "judged_lines")
-    alike = judged.where("alike").select("a", "b")
-    again = judged.where("NOT alike").select("a", "b").unionByName(closest.where("o IS NULL").select("a", "b"))
+    sorted_rows = index.repartition("key").sortWithinPartitions("key", "id", "spot", "kind")
+    led = sorted_rows.select("key", "spot", *_CLASS).mapInArrow(_leaders, _LED)
+    partner = F.when(F.col("o_kind").isNotNull(), F.struct("differ", *_OTHER))
+    closest = stored(led.groupBy(*_CLASS).agg(F.min(partner).alias("o")), "led_lines")
+    pairs = closest.where("o IS NOT NULL").select(*_CLASS, *(f"o.{name}" for name in _OTHER))
+    judged = stored(_judged(docs, pairs), "judged_lines")
+    alike = judged.where("alike").select(*_CLASS)
+    again = judged.where("NOT alike").select(*_CLASS).unionByName(closest.where("o IS NULL").select(*_CLASS))
     if again.isEmpty():
         return alike
 
     # Only a class's first line counts, as others may follow the line it meets.
-    place = F.struct("id", "line_no")
-    number = F.shiftright("pack", 2 * NUMBER_BITS)
-    mine = index.withColumn("b", number).join(again, ["a", "b"], "left_semi")
-    begin = mine.groupBy("key", "a", "pack", "bits").agg(F.min(place).alias("place"))
-    begin = stored(begin, "open_keys")
+    mine = index.join(again, [*_CLASS], "left_semi")
+    begin = mine.groupBy("key", *_CLASS).agg(F.min(F.struct("id", "spot")).alias("first"))
+    begin = stored(begin.select("key", "first.id", "first.spot", *_CLASS), "open_keys")
     # Keys that no open line has are not shuffled again.
     key_class = F.pmod("key", F.lit(KEY_CLASSES)).alias("key_class")
     some = F.broadcast(begin.select(key_class).distinct())
-    other = index.withColumn("key_class", key_class).join(some, "key_class", "left_semi")
-    other = other.select("key", "a", "pack", "bits", place.alias("place"))
-    (b, n, at), (ob, on, o_at) = _unpack("x"), _unpack("y")
-    small, large = F.least(n, on), F.greatest(n, on)
-    differ = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits")))
-    meet = (
-        (F.col("x.key") == F.col("y.key"))
-        & (5 * small >= 4 * large)
-        & (9 * (F.least(at, o_at) + F.least(n - at, on - o_at)) >= 4 * (small + large))
-        & (9 * differ <= small + large)
-        & (F.col("y.place") < F.col("x.place"))
-        & ((F.col("x.a") != F.col("y.a")) | (b != ob))
+    other = index.withColumn("key_class", key_class).join(some, "key_class", "left_semi").drop("key_class")
+    every = begin.alias("x").join(other.alias("y"), _meeting())
+    every = every.select(
+        *(F.col(f"x.{name}") for name in _CLASS), *(F.col(f"y.{name}").alias(o) for name, o in zip(_CLASS, _OTHER))
     )
-    every = begin.alias("x").join(other.alias("y"), meet)
-    every = every.select("x.a", b.alias("b"), F.col("y.a").alias("oa"), ob.alias("ob"))
     rest = _judged(docs, stored(every.distinct(), "open_lines"))
-    return alike.unionByName(rest.where("alike").select("a", "b").distinct())
+    return alike.unionByName(rest.where("alike").select(*_CLASS).distinct())
 
 
 def removed_lines(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> DataFrame:
@@ -561,21 +556,21 @@ def removed_lines(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> DataFrame:
     found = stored(read.mapInArrow(_found(levels), StructType(fields)), "found_lines")
 
     place = F.struct("id", "line_no")
-    classes = found.groupBy("a", "b").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"))
+    classes = found.groupBy(*_CLASS).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"))
     repeating = _repeating(read, found).withColumn("repeats", F.lit(True))
-    cut = classes.join(repeating, ["a", "b"], "left").where("repeats OR copies > 1")
+    cut = classes.join(repeating, [*_CLASS], "left").where("repeats OR copies > 1")
     # A class that repeats goes whole, any other but for its first line.
-    cut = cut.select("a", "b", "copies", F.when(F.col("repeats"), None).otherwise(F.col("first")).alias("first"))
+    cut = cut.select(*_CLASS, "copies", F.when(F.col("repeats"), None).otherwise(F.col("first")).alias("first"))
     cut = stored(cut, "cut_lines")
 
     # Classes of many copies are few and broadcast, so their lines are not gathered.
     parts = PARTS_PER_PARTITION * shuffle_partitions(spark)
     limit = -(-(cut.agg(F.sum("copies")).first()[0] or 0) // parts)
-    lines = found.select("id", "th", "line_no", "n_chars", "a", "b")
+    lines = found.select("id", "th", "line_no", "n_chars", *_CLASS)
     hot = F.broadcast(cut.where(F.col("copies") > limit).drop("copies"))
     cold = cut.where(F.col("copies") <= limit).drop("copies")
-    met = lines.join(hot, ["a", "b"]).unionByName(
-        lines.join(hot.select("a", "b"), ["a", "b"], "left_anti").join(cold, ["a", "b"])
+    met = lines.join(hot, [*_CLASS]).unionByName(
+        lines.join(hot.select(*_CLASS), [*_CLASS], "left_anti").join(cold, [*_CLASS])
     )
     later = F.col("first").isNull() | (place > F.col("first"))
     return met.where(later).select("id", "th", "line_no", "n_chars")
@@ -592,7 +587,8 @@ def line_figures(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> DataFrame:
     A null text has no lines, an empty one a single empty line that stays.
     Rows equal in id and text are one document; of rows that share only the id,
     equal lines of one number both stay. Words count as equal if 58 bits of
-    their names are, and word sets if 77 bits are. A line of more than 33
+    their names are, and word sets if 38 bits of a hash, the number
+    of words and 128 bits of their bitmap are. A line of more than 33
     million different words is an error. Other columns are ignored.
     An empty table gives an empty one.
 

@@ -89,20 +89,20 @@ def test_long_keys_are_let_go_but_for_their_leaders(spark, monkeypatch, held):
     rows = []
     column = pa.array([text for _, text in docs])
     lines = line_dedup.lines_of(column, np.full(1, 12, np.uint8))
-    bits = line_dedup.bitmaps(lines).view(np.int64)
     owner, key, at = line_dedup.line_keys(lines)
+    figures = [x.view(np.int64).tolist() for x in (lines.kind, lines.low, lines.high)]
     for i, k, p in zip(owner.tolist(), key.view(np.int64).tolist(), at.tolist()):
-        pack = (int(lines.b[i]) << 50) | (int(lines.n[i]) << 25) | p
-        rows.append((k, i, int(lines.a.view(np.int64)[i]), pack, int(bits[i])))
+        rows.append((k, i << 25 | p, *(x[i] for x in figures)))
     rows.sort()
-    names = ("key", "place", "a", "pack", "bits")
+    names = ("key", "spot", "kind", "low", "high")
     table = pa.table({name: [row[j] for row in rows] for j, name in enumerate(names)})
 
     def found(size):
         monkeypatch.setattr(line_dedup, "_HELD_ROWS", size)
         out = pa.Table.from_batches(line_dedup._leaders(table.to_batches(max_chunksize=7)))
-        bare = {(x["a"], x["b"]) for x in out.to_pylist() if x["oa"] is None}
-        return {(x["a"], x["b"]) for x in out.to_pylist()} - bare, bare
+        rows = [(x["kind"], x["low"], x["high"], x["o_kind"]) for x in out.to_pylist()]
+        bare = {x[:3] for x in rows if x[3] is None}
+        return {x[:3] for x in rows} - bare, bare
 
     whole, none = found(1 << 17)
     some, bare = found(held)
