@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -37,12 +38,15 @@ WHOLE = 3
 RARE_LEVEL = 10
 # Two neighbours that both occur at least 2**COMMON_LEVEL - 1 times meet by length too.
 COMMON_LEVEL = 20
-# Classes of documents and lines by which those are picked that have something to compare.
+# Classes of lines, keys and documents by which those are picked that have something to compare.
 PICKED = 1 << 23
-KEY_CLASSES = 1 << 20
+KEY_CLASSES = 1 << 26
+DOCUMENT_CLASSES = 1 << 20
 PARTS_PER_PARTITION = 8
 # Numbers of words, and places of a key among them, have so many bits, hashes of a word set so many.
 NUMBER_BITS, HASH_BITS = 25, 38
+# The place of a key made of two words has this bit besides.
+PAIR = 1 << (NUMBER_BITS - 1)
 
 _SEED = 211
 _BLOCK = 4096
@@ -155,8 +159,8 @@ def lines_of(column: pa.Array, levels: np.ndarray | None) -> Lines:
     size = np.bincount(line, minlength=len(heads))
     place = np.r_[0, np.cumsum(size)]
     plain = words & _NAME
-    if size.max() >> NUMBER_BITS:
-        raise ValueError(f"a line has {size.max()} different words; {1 << NUMBER_BITS} are too many")
+    if size.max() >= PAIR:
+        raise ValueError(f"a line has {size.max()} different words; {PAIR} are too many")
     whole = mix(np.add.reduceat(mix(plain + np.uint64(1)), place[:-1]) + size.astype(np.uint64))
     kind = whole >> np.uint64(64 - HASH_BITS) << np.uint64(NUMBER_BITS) | size.astype(np.uint64)
     # Each word turns one of 128 bits.
@@ -169,6 +173,8 @@ def lines_of(column: pa.Array, levels: np.ndarray | None) -> Lines:
 def line_keys(lines: Lines) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``line, key, at``: the keys on which similar lines must meet, and where in the line's order they stand.
 
+    ``at`` has the bit ``PAIR`` where the key is made of two words.
+
     Let x have n words, a of them not in y, and y have b others. Jaccard 0.8
     means a + 0.8 b <= 0.2 n, so the first common word has a position (from 0)
     of at most n div 5. If it is rare it is a key of both lines. If not, the r
@@ -217,7 +223,7 @@ def line_keys(lines: Lines) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sized = mix(made + scale + np.uint64(1))
     line += [of, of[common]]
     key += [np.where(common, sized, made), mix(made + scale + np.uint64(2))[common]]
-    at += [step, step[common]]
+    at += [step | PAIR, step[common] | PAIR]
     return np.concatenate(line), np.concatenate(key), np.concatenate(at)
 
 
@@ -277,23 +283,30 @@ def _found(levels):
 
 _CLASS = ("kind", "low", "high")
 _OTHER = ("o_kind", "o_low", "o_high")
-_ROW = ("key", *_CLASS, "n", "at")
+_ROW = ("key", *_CLASS, "n", "at", "pair")
 
 
 def _unpacked(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
     """The columns of a batch of keys. Keys stay signed, as Spark has sorted them."""
     rows = {name: batch.column(name).to_numpy() for name in ("key", *_CLASS)}
-    mask = (1 << NUMBER_BITS) - 1
-    return rows | {"n": rows["kind"] & mask, "at": batch.column("spot").to_numpy() & mask}
+    spot = batch.column("spot").to_numpy()
+    return rows | {
+        "n": rows["kind"] & ((1 << NUMBER_BITS) - 1),
+        "at": spot & (PAIR - 1),
+        "pair": spot & PAIR != 0,
+    }
 
 
 def _allowed(x: dict, y: dict, differ: np.ndarray) -> np.ndarray:
     """Whether sizes, positions and bitmaps of lines that share a key allow the similarity.
 
-    At least as many words as bits differ are in one of the lines only.
+    At least as many words as bits differ are in one of the lines only. Similar
+    lines whose first common word is rare need to meet on that one alone, and
+    before it they share nothing.
     """
     small, large = np.minimum(x["n"], y["n"]), np.maximum(x["n"], y["n"])
-    room = np.minimum(x["at"], y["at"]) + np.minimum(x["n"] - x["at"], y["n"] - y["at"])
+    room = np.minimum(x["n"] - x["at"], y["n"] - y["at"])
+    room += np.where(x["pair"], np.minimum(x["at"], y["at"]), 0)
     total = small + large
     return (9 * differ <= total) & (5 * small >= 4 * large) & (9 * room >= 4 * total)
 
@@ -425,13 +438,13 @@ def _sets(picked):
     """The word sets of lines whose class is picked, once for each task."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(picked.value, np.uint8), bitorder="little").astype(bool)
+        flags = _flags(picked.value)
         sent: set[tuple[int, int, int]] = set()
         for part in portions(batches, "text"):
             lines = lines_of(part.column("text"), None)
             number = lines.kind >> np.uint64(NUMBER_BITS)
             fresh = []
-            for i in np.flatnonzero(bits[(number % np.uint64(PICKED)).astype(np.int64)]).tolist():
+            for i in np.flatnonzero(flags[(number % np.uint64(PICKED)).astype(np.int64)]).tolist():
                 name = int(lines.kind[i]), int(lines.low[i]), int(lines.high[i])
                 if name not in sent:
                     sent.add(name)
@@ -459,26 +472,47 @@ def _compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _picked(pairs: DataFrame) -> bytes:
-    """A bit for each class of lines that a pair names; some lines are picked without need."""
-    sides = pairs.select("kind").unionByName(pairs.select(F.col("o_kind").alias("kind")))
+def _bits(values: DataFrame, size: int) -> bytes:
+    """A bit for each class of the numbers in the only column, by their remainder."""
     # Spark counts the bits of a bitmap from 1, and a remainder from 0.
-    number = F.pmod(F.shiftright("kind", NUMBER_BITS), F.lit(PICKED)) + 1
-    made = sides.groupBy(F.bitmap_bucket_number(number).alias("at")).agg(
+    number = F.pmod(F.col(values.columns[0]), F.lit(size)) + 1
+    made = values.groupBy(F.bitmap_bucket_number(number).alias("at")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits")
     )
-    size = 4096
-    bits = bytearray(PICKED // 8)
+    block = 4096
+    bits = bytearray(size // 8)
     for row in made.collect():
-        bits[(row["at"] - 1) * size : row["at"] * size] = row["bits"]
+        bits[(row["at"] - 1) * block : row["at"] * block] = row["bits"]
     return bytes(bits)
 
 
-def _judged(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def _flags(bits: bytes) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").astype(bool)
+
+
+def _holding(picked):
+    """The classes of documents that hold a picked line."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = _flags(picked.value)
+        for batch in batches:
+            number = (batch.column("kind").to_numpy() >> NUMBER_BITS) % PICKED
+            held = np.unique(batch.column("th").to_numpy()[flags[number]] % DOCUMENT_CLASSES)
+            yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64())], names=["number"])
+
+    return run
+
+
+def _judged(docs: DataFrame, found: DataFrame, pairs: DataFrame) -> DataFrame:
     """The first of each pair of classes with ``alike``, from the word sets of both."""
-    picked = docs.sparkSession.sparkContext.broadcast(_picked(pairs))
-    found = docs.select("text").mapInArrow(_sets(picked), "kind long, low long, high long, words binary")
-    sets = stored(found.groupBy(*_CLASS).agg(F.first("words").alias("words")), "line_sets")
+    sides = pairs.select("kind").unionByName(pairs.select(F.col("o_kind").alias("kind")))
+    picked = docs.sparkSession.sparkContext.broadcast(_bits(sides.select(F.shiftright("kind", NUMBER_BITS)), PICKED))
+    lines = found.where(F.size("keys") > 0).select("th", "kind")
+    some = F.broadcast(lines.mapInArrow(_holding(picked), "number long").distinct())
+    number = F.pmod("th", F.lit(DOCUMENT_CLASSES)).alias("number")
+    texts = docs.select("text", number).join(some, "number", "left_semi").select("text")
+    held = texts.mapInArrow(_sets(picked), "kind long, low long, high long, words binary")
+    sets = stored(held.groupBy(*_CLASS).agg(F.first("words").alias("words")), "line_sets")
     both = pairs.join(sets.withColumnRenamed("words", "x"), [*_CLASS])
     both = both.join(sets.toDF(*_OTHER, "y"), [*_OTHER])
     return both.select(*_CLASS, "x", "y").mapInArrow(_compared, "kind long, low long, high long, alike boolean")
@@ -492,18 +526,39 @@ def _index(found: DataFrame) -> DataFrame:
     return rows.select(F.col("k.keys").alias("key"), "id", spot.alias("spot"), *_CLASS)
 
 
+def _with_keys(opened):
+    """The rows of ``_index`` whose keys are open ones, and some others."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = _flags(opened.value)
+        for batch in batches:
+            keys, owner = pc.list_flatten(batch.column("keys")), pc.list_parent_indices(batch.column("keys"))
+            take = np.flatnonzero(flags[keys.to_numpy() % KEY_CLASSES])
+            owner = owner.take(pa.array(take))
+            ats = pc.list_flatten(batch.column("ats")).take(pa.array(take)).to_numpy()
+            line_no = batch.column("line_no").take(owner).to_numpy().astype(np.int64)
+            spot = pa.array(line_no << NUMBER_BITS | ats, pa.int64())
+            rest = [batch.column(name).take(owner) for name in _CLASS]
+            yield pa.RecordBatch.from_arrays(
+                [keys.take(pa.array(take)), batch.column("id").take(owner), spot, *rest], names=["key", "id", "spot", *_CLASS]
+            )
+
+    return run
+
+
 def _meeting() -> Column:
     """The condition on which an open class ``x`` meets a line ``y`` that begins earlier."""
-    mask = F.lit((1 << NUMBER_BITS) - 1)
-    n, on = (F.col(f"{side}.kind").bitwiseAND(mask) for side in "xy")
-    at, o_at = (F.col(f"{side}.spot").bitwiseAND(mask) for side in "xy")
+    n, on = (F.col(f"{side}.kind").bitwiseAND(F.lit((1 << NUMBER_BITS) - 1)) for side in "xy")
+    at, o_at = (F.col(f"{side}.spot").bitwiseAND(F.lit(PAIR - 1)) for side in "xy")
+    pair = F.col("x.spot").bitwiseAND(F.lit(PAIR)) != 0
     small, large = F.least(n, on), F.greatest(n, on)
+    room = F.least(n - at, on - o_at) + F.when(pair, F.least(at, o_at)).otherwise(0)
     differ = sum(F.bit_count(F.col(f"x.{half}").bitwiseXOR(F.col(f"y.{half}"))) for half in ("low", "high"))
     x, y = (F.struct(F.col(f"{side}.id"), F.shiftright(f"{side}.spot", NUMBER_BITS).alias("line_no")) for side in "xy")
     return (
         (F.col("x.key") == F.col("y.key"))
         & (5 * small >= 4 * large)
-        & (9 * (F.least(at, o_at) + F.least(n - at, on - o_at)) >= 4 * (small + large))
+        & (9 * room >= 4 * (small + large))
         & (9 * differ <= small + large)
         & (y < x)
         & ~((F.col("x.kind") == F.col("y.kind")) & (differ == 0))
@@ -525,7 +580,7 @@ def _repeating(docs: DataFrame, found: DataFrame) -> DataFrame:
     partner = F.when(F.col("o_kind").isNotNull(), F.struct("differ", *_OTHER))
     closest = stored(led.groupBy(*_CLASS).agg(F.min(partner).alias("o")), "led_lines")
     pairs = closest.where("o IS NOT NULL").select(*_CLASS, *(f"o.{name}" for name in _OTHER))
-    judged = stored(_judged(docs, pairs), "judged_lines")
+    judged = stored(_judged(docs, found, pairs), "judged_lines")
     alike = judged.where("alike").select(*_CLASS)
     again = judged.where("NOT alike").select(*_CLASS).unionByName(closest.where("o IS NULL").select(*_CLASS))
     if again.isEmpty():
@@ -536,14 +591,14 @@ def _repeating(docs: DataFrame, found: DataFrame) -> DataFrame:
     begin = mine.groupBy("key", *_CLASS).agg(F.min(F.struct("id", "spot")).alias("first"))
     begin = stored(begin.select("key", "first.id", "first.spot", *_CLASS), "open_keys")
     # Keys that no open line has are not shuffled again.
-    key_class = F.pmod("key", F.lit(KEY_CLASSES)).alias("key_class")
-    some = F.broadcast(begin.select(key_class).distinct())
-    other = index.withColumn("key_class", key_class).join(some, "key_class", "left_semi").drop("key_class")
+    opened = docs.sparkSession.sparkContext.broadcast(_bits(begin.select("key"), KEY_CLASSES))
+    lines = found.where(F.size("keys") > 0).select("id", "line_no", *_CLASS, "keys", "ats")
+    other = lines.mapInArrow(_with_keys(opened), begin.schema)
     every = begin.alias("x").join(other.alias("y"), _meeting())
     every = every.select(
         *(F.col(f"x.{name}") for name in _CLASS), *(F.col(f"y.{name}").alias(o) for name, o in zip(_CLASS, _OTHER))
     )
-    rest = _judged(docs, stored(every.distinct(), "open_lines"))
+    rest = _judged(docs, found, stored(every.distinct(), "open_lines"))
     return alike.unionByName(rest.where("alike").select(*_CLASS).distinct())
 
 
@@ -588,7 +643,7 @@ def line_figures(docs: DataFrame, buckets: int = RARITY_BUCKETS) -> DataFrame:
     Rows equal in id and text are one document; of rows that share only the id,
     equal lines of one number both stay. Words count as equal if 58 bits of
     their names are, and word sets if 38 bits of a hash, the number
-    of words and 128 bits of their bitmap are. A line of more than 33
+    of words and 128 bits of their bitmap are. A line of more than 16
     million different words is an error. Other columns are ignored.
     An empty table gives an empty one.
 

@@ -53,7 +53,45 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
 
+
+def _shown(turns: str) -> str:
+    """Turns as one text."""
+    turn = "'<|' || coalesce(t.role, '') || '|>' || chr(10) || coalesce(t.text, '') || '<|end|>' || chr(10)"
+    return f"coalesce(list_aggregate(list_transform({turns}, lambda t: {turn}), 'string_agg', ''), '')"
+
+
+def _trained(turns: str) -> str:
+    """What of the turns is trained on."""
+    turn = "CASE WHEN t.role = 'assistant' THEN coalesce(t.text, '') || '<|end|>' || chr(10) ELSE '' END"
+    return f"coalesce(list_aggregate(list_transform({turns}, lambda t: {turn}), 'string_agg', ''), '')"
+
+
+_PREFERENCES = f"""
+WITH held AS (
+  SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+ends AS (
+  SELECT *, coalesce(list_max(list_filter(range(1, len(turns) + 1), lambda i: turns[i].role = 'assistant')),
+                     len(turns) + 1) AS last
+  FROM held),
+replies AS (
+  SELECT conv_id AS partner_id, conv_id // 2 AS pair, last <= len(turns) AS speaks, turns[last] AS reply FROM ends),
+pairs AS (
+  SELECT e.conv_id, r.partner_id, e.turns AS chosen,
+         CASE WHEN r.speaks THEN list_append(e.turns[1:e.last - 1], r.reply) ELSE e.turns[1:e.last - 1] END AS rejected
+  FROM ends e LEFT JOIN replies r ON r.pair = e.conv_id // 2 AND r.partner_id <> e.conv_id),
+sizes AS (SELECT *, least(len(chosen), len(rejected)) AS shared FROM pairs),
+cuts AS (
+  SELECT *, coalesce(list_min(list_filter(range(1, shared + 1), lambda i: chosen[i] IS DISTINCT FROM rejected[i])) - 1,
+                     shared) AS common
+  FROM sizes)
+SELECT conv_id, partner_id, CAST(common AS INTEGER) AS prompt_turns, {_shown("chosen[1:common]")} AS prompt,
+       {_shown("chosen[common + 1:]")} AS chosen, {_shown("rejected[common + 1:]")} AS rejected,
+       {_trained("chosen[common + 1:]")} AS chosen_trained, {_trained("rejected[common + 1:]")} AS rejected_trained
+FROM cuts"""
+
 ORACLES: dict[str, str] = {
+    "op7_preference_chats": _PREFERENCES,
     "op11_divergence": _DIVERGENCE,
     "op13_exact_dedup": _EXACT,
 }

@@ -1,0 +1,69 @@
+"""Columns of the caller keep names and values, whatever the operators call their own."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from claimstrata.llm import decontaminate, line_dedup, mixing, near_dup, preference
+
+NAMES = """_id _removed _h1 _h2 _t1 _t2 _lane _own _key _slice _rank _first _n _turn _slot _share _period _path _at _none
+_hits _items _source _rows _weight _class _c _r c0 c1 c2 id th row key number removed digest place n first copies kind
+low high group label node h1 h2 text0 words alike source_ doc hit size _benchmark_ n_words items kept""".split()
+TEXT = "these are the words of a text that stands here once and is long enough to be kept"
+
+
+def marked(df):
+    return df.withColumns({name: F.concat(F.lit(name), F.col("doc_id").cast("string")) for name in NAMES})
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, f"{TEXT} {i} " + " ".join(f"w{i}x{j}" for j in range(30)), f"s{i % 3}", 9) for i in range(8)]
+    rows += [(8, rows[0][1], "s0", 9), (9, f"a b c d e f g h\n{TEXT} own words", "s1", 9)]
+    return marked(spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long"))
+
+
+def assert_kept(before, after):
+    names = [name for name in before.columns if name in NAMES]
+    known = {row.doc_id: row for row in before.collect()}
+    rows = after.collect()
+    assert rows and set(names) <= set(after.columns)
+    for row in rows:
+        assert all(row[name] == known[row.doc_id][name] for name in names)
+
+
+OPERATORS = {
+    "lines": lambda docs, items: line_dedup.drop_lines(docs),
+    "near": lambda docs, items: near_dup.keep_one(docs),
+    "mix": lambda docs, items: mixing.interleave(docs),
+    "benchmark": lambda docs, items: decontaminate.drop_contaminated(docs, items),
+    "hits": lambda docs, items: decontaminate.decontaminate(docs.drop("n_words", "items"), items),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_callers_columns_stay(spark, docs, name):
+    items = spark.createDataFrame([(1, "w3x1 w3x2 w3x3 w3x4 w3x5 w3x6 w3x7 w3x8 w3x9 w3x10 w3x11")], "item_id long, text string")
+    made = {"hits": ("n_words", "items")}.get(name, ())
+    assert_kept(docs.drop(*made), OPERATORS[name](docs, items))
+
+
+def test_stages_keep_callers_columns(spark, docs, tmp_path):
+    items = spark.createDataFrame([(1, "none of these words")], "item_id long, text string")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        assert_kept(docs.drop("place"), stage(spark, docs.drop("place"), str(tmp_path)))
+
+
+def test_preference_pairs_keep_callers_columns(spark):
+    turn = "array<struct<role:string,text:string>>"
+    pairs = marked(spark.createDataFrame([(1, [("user", "a")], [("user", "b")])], f"doc_id long, chosen {turn}, rejected {turn}"))
+    assert_kept(pairs, preference.format_preferences(pairs))
+
+
+def test_a_null_turn_is_no_missing_turn(spark):
+    turn = "array<struct<role:string,text:string>>"
+    rows = [(1, [None], []), (2, [], [None]), (3, [None, ("user", "a")], [None]), (4, [None], [None]), (5, None, None)]
+    pairs = spark.createDataFrame(rows, f"doc_id long, chosen {turn}, rejected {turn}")
+    found = {r.doc_id: (r.prompt_turns, len(r.chosen), len(r.rejected)) for r in preference.format_preferences(pairs).collect()}
+    assert found == {1: (0, 2, 0), 2: (0, 0, 2), 3: (1, 2, 0), 4: (1, 0, 0), 5: (0, 0, 0)}
