@@ -2,8 +2,9 @@
 
 import pytest
 
+from claimstrata.operators.policies import split_limit
 from claimstrata.registry import queries
-from claimstrata.session import scan_splits, settings_for, source_bytes
+from claimstrata.session import scan_splits, settings_for, shuffle_partitions, source_bytes
 
 SF_DIR = "/root/testdata/sf0.001"
 EAGER = {"checkpoint_bronze", "csv_roundtrip", "csv_rows", "csv_version", "published_rows"}
@@ -75,6 +76,19 @@ def test_settings_grow_with_the_data():
     assert settings_for(100 * 1024**4)[key] == str(100 * 1024 // 2)
 
 
+def test_slices_follow_the_settings_of_a_large_run(spark, settings):
+    metrics = spark.createDataFrame(
+        [("hot", 40_000_000_000), ("other", 1), (None, 60_000_000_000)], "policy_id string, total_claims long"
+    )
+    with settings(settings_for(100 * 1024**4)):
+        assert shuffle_partitions(spark) == 100 * 1024 // 2
+        limit, largest = split_limit(metrics, floor=1)
+    # An eighth of an average partition's claims, however many partitions the session has without a run.
+    assert limit == -(-100_000_000_001 // (8 * 51_200)) and largest == 40_000_000_000
+    with settings({"spark.sql.shuffle.partitions": "16"}):
+        assert split_limit(metrics, floor=1)[0] == -(-100_000_000_001 // (8 * 16))
+
+
 def test_scan_splits_are_put_back(spark):
     key = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(key)
