@@ -1,6 +1,7 @@
 """Lines that do not fit the schema, and fields that the schema does not have."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,3 +110,34 @@ def test_fields_are_counted_in_one_scan_without_a_wide_shuffle(spark):
     text = df._jdf.queryExecution().executedPlan().toString()
     assert text.count("FileScan") == 1 and text.count("Exchange") == 1 and "partial_count" in text
     assert df.agg(F.sum("n")).first()[0] > 0
+
+
+def test_undeclared_fields_are_found_fields_without_declared_ones(spark, tmp_path):
+    lines = [
+        '{"sale": {"sale_id": {"$numberInt": "1"}, "STRING city": "x"}, "city": "a", "STRING city": "b"}',
+        '{"city": null, "sale.sale_date": "2", "sale": {"sale_date": 3}, "claims": [[], {}, null, "x", [{"a": {}}]]}',
+        '{"a b": {"": [1, 2.5, {"city": "c"}]}, "claims": {"$numberInt": "1"}, "age": [], "day": [null]}',
+        '{"l1": {"l2": {"l3": {"l4": {"l5": {"l6": {"l7": {"l8": {"l9": 1}, "m8": []}}}}}}}}',
+        "null", "[]", "{}", '"text"', "[null]",
+    ]
+    (tmp_path / "d.json").write_text("\n".join(lines))
+    docs = read_variants(spark, f"{tmp_path}/d.json")
+    declared = declared_fields()
+    known = {""} | {path[:i] for path in declared for i in range(len(path) + 1) if path[i : i + 1] in (".", "[", "")}
+    for depth in (1, 2, 8):
+        found = {(r.path, r.type): r.n for r in found_fields(docs, depth).collect()}
+        for path, kind in list(found):
+            empty = kind in ("OBJECT<>", "ARRAY<VOID>", "VOID") and path in known
+            if declared.get(path) == kind or empty:
+                del found[path, kind]
+        assert {(r.path, r.type): r.n for r in undeclared_fields(docs, depth=depth).collect()} == found and found
+
+
+def test_no_level_copies_the_document(spark):
+    df = queries.field_drift(spark, "/root/testdata/sf0.001")
+    text = df._jdf.queryExecution().executedPlan().toString()
+    steps = re.findall(r"Generate variant_explode\w*\([^)]*\), \[([^\]]*)\]", text)
+    assert len(steps) == 8
+    assert all(len(carried.split(",")) <= 3 for carried in steps)
+    # Each level looks a path and type up once; a comparison for every declared field costs most of the time.
+    assert max(line.count(" = ") for line in text.splitlines()) < 10
