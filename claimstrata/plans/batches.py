@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from claimstrata.sinks.files import MAX_RECORDS_PER_FILE, write_layer
+from claimstrata.sinks.files import LAYER_CODEC, MAX_RECORDS_PER_FILE, write_layer
 from claimstrata.sinks.lineage import new_folder
 from claimstrata.sinks.storage import Store
 
@@ -56,7 +56,7 @@ def store_batch(rows: DataFrame, path: str, batch: str) -> DataFrame:
     staged = f"{path}/_incoming-{uuid.uuid4().hex}"
     figures = partial_metrics(rows).withColumn("part", _part(F.col("policy_id")))
     writer = figures.repartition(PARTS, "part").write.partitionBy("part")
-    writer.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(staged)
+    writer.options(maxRecordsPerFile=MAX_RECORDS_PER_FILE, compression=LAYER_CODEC).parquet(staged)
     some = any(name.startswith("part=") for name in store.names(staged))
 
     present = StructType([field for field in PARTIALS if field.name != "batch"])

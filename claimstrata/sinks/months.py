@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from claimstrata.sinks.files import MAX_RECORDS_PER_FILE
+from claimstrata.sinks.files import LAYER_CODEC, MAX_RECORDS_PER_FILE
 from claimstrata.sinks.storage import Store
 
 MONTH_COLUMN = "sale_month"
@@ -28,7 +28,9 @@ def _write(df: DataFrame, path: str, mode: str) -> None:
     # month; adaptive execution then cuts a hot month into pieces of its
     # advisory size and merges small ones.
     writer = df.hint("rebalance", MONTH_COLUMN).write.mode("overwrite").partitionBy(MONTH_COLUMN)
-    writer.options(maxRecordsPerFile=MAX_RECORDS_PER_FILE, partitionOverwriteMode=mode).parquet(path)
+    writer.options(
+        maxRecordsPerFile=MAX_RECORDS_PER_FILE, partitionOverwriteMode=mode, compression=LAYER_CODEC
+    ).parquet(path)
 
 
 def write_months(df: DataFrame, path: str, day: str = "sale_day") -> DataFrame:

@@ -17,6 +17,7 @@ from claimstrata.sinks import (
     shared_folder,
     write_csv,
     write_layer,
+    write_months,
     write_table,
 )
 
@@ -207,3 +208,36 @@ DATABASE = {
 def test_publish_rejects_other_sources(spark, source, tmp_path):
     with pytest.raises(ValueError, match="gold_from"):
         publish(spark, source, str(tmp_path), gold_from="tin")
+
+
+def stored_bytes(path):
+    return sum(p.stat().st_size for p in pathlib.Path(path).rglob("part-*"))
+
+
+def test_wire_lines_are_stored_packed_and_in_files_of_few_rows(spark):
+    queries.wire(spark, SF_DIR)
+    queries.field_drift(spark, SF_DIR)
+    for name in ("wire", "odd_lines"):
+        path = queries._once(spark, SF_DIR, name, None)
+        text = sum(len(row.value) + 1 for row in spark.read.text(path).collect())
+        assert stored_bytes(path) < text / 4
+    assert queries.PACKED_LINES["maxRecordsPerFile"] <= 1_000_000
+
+
+def test_layers_spend_less_on_digests_than_their_digits(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    write_layer(spark.range(20_000, numPartitions=2).selectExpr("sha2(string(id), 256) AS digest"), path)
+    assert stored_bytes(path) < 20_000 * 45
+    write_months(spark.range(20_000).selectExpr("sha2(string(id), 256) AS digest", "date'2024-01-01' AS sale_day"), path)
+    assert stored_bytes(path) < 20_000 * 45
+
+
+def test_packed_csv_is_smaller_and_reads_the_same(spark, tmp_path):
+    rows = queries.bronze_layer(spark, SF_DIR)
+    plain, packed = str(tmp_path / "plain"), str(tmp_path / "packed")
+    write_csv(rows, plain)
+    write_csv(rows, packed, packed=True)
+    assert stored_bytes(packed) < stored_bytes(plain) / 3
+    assert all(p.name.endswith(".csv") for p in part_files(plain))
+    back = read_csv(spark, packed, rows.schema)
+    assert back.exceptAll(read_csv(spark, plain, rows.schema)).count() == 0 and back.count() == rows.count()
