@@ -1,6 +1,7 @@
 """Versioned exports, partial metrics of batches, and figures taken while writing."""
 
 import datetime as dt
+import gzip
 import pathlib
 
 import pytest
@@ -194,3 +195,20 @@ def test_figures_are_those_of_the_written_rows(spark, tmp_path):
     assert figures.nulls == {"i": 1, "b.c": 0, "s": 1} and figures.sums == {"i": 4, "b.c": 3 * 2**62}
     _, empty = write_counted(df.where("i > 9"), f"{tmp_path}/y", columns=True)
     assert (empty.rows, empty.sums["i"]) == (0, 0)
+
+
+def test_packed_files_are_listed_read_and_checked(spark, tmp_path):
+    path = f"{tmp_path}/packed"
+    df = spark.range(100, numPartitions=3)
+    folder = write_version(spark, path, lambda new: write_csv(df, f"{new}/rows", packed=True))
+    files = {p.name for p in pathlib.Path(folder, "rows").glob("*.csv.gz")}
+    found = {row.file: row.lines for row in read_manifest(spark, folder).collect()}
+    assert set(found) == files and len(files) == 3 and sum(found.values()) == 103
+    assert ids(spark, path) == list(range(100))
+    assert damaged_files(spark, folder).count() == 0
+    victim = pathlib.Path(folder, "rows", min(files))
+    victim.write_bytes(gzip.compress(gzip.decompress(victim.read_bytes()).replace(b"7", b"8")))
+    (victim.parent / f".{victim.name}.crc").unlink()
+    pathlib.Path(folder, "rows", max(files)).unlink()
+    assert {row.file for row in damaged_files(spark, folder).collect()} <= files
+    assert max(files) in {row.file for row in damaged_files(spark, folder).collect()}
