@@ -22,6 +22,8 @@ from claimstrata.llm.texts import ALNUM, appended, byte_view, names, portions, w
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
+# Bytes of text that a task takes at once; its arrays are many times as large.
+PORTION_TAKEN = 1 << 19
 _SEED = 81
 _CANDIDATES = 1 << 18
 FIGURES = {
@@ -137,7 +139,7 @@ def _frequency(docs: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(vocabulary) + 1, np.int64)
         index = Index(Windows(vocabulary, [], [], []), np.zeros(0))
-        for part in portions(batches, "text"):
+        for part in portions(batches, "text", PORTION_TAKEN):
             numbers = index.numbers(word_names(part.column("text"))[0])
             total += np.bincount(numbers + 1, minlength=len(total))
         at = np.flatnonzero(total[1:])
@@ -200,7 +202,7 @@ def decontaminate(
 
 def _matcher(index: Index, keep: list[str], new: tuple[str, ...], last: bool):
     def match(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in portions(batches, "text"):
+        for part in portions(batches, "text", PORTION_TAKEN):
             found, first = word_names(part.column("text"))
             hit = np.zeros(len(found) + 1, np.int64)
             rows = part.num_rows

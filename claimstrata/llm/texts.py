@@ -117,7 +117,7 @@ class Names:
 
     def _grow(self, size: int) -> None:
         if len(self.powers) < size:
-            size = max(size, 2 * PORTION_BYTES)
+            size = max(size, PORTION_BYTES + 1)
             for name, base in (("powers", self.base), ("inverse", pow(self.base, -1, 1 << 64))):
                 steps = np.full(size, base, np.uint64)
                 steps[0] = 1
@@ -126,7 +126,9 @@ class Names:
     def sums(self, data: np.ndarray) -> np.ndarray:
         self._grow(len(data) + 1)
         total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.values[data] * self.powers[: len(data)], out=total[1:])
+        steps = self.values[data]
+        steps *= self.powers[: len(data)]
+        np.cumsum(steps, out=total[1:])
         return total
 
     def every(self, sums: np.ndarray, size: int) -> np.ndarray:
