@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # The declared source schema. Every field may be NULL.
 WIRE_SCHEMA = """
@@ -45,3 +46,15 @@ def read_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
     Plain files split at line ends, so one large file is read by many tasks.
     """
     return spark.read.schema(WIRE_SCHEMA).json(path)
+
+
+def parse_documents(lines: DataFrame) -> DataFrame:
+    """Documents from a frame with one JSON object per row in ``value``, as ``read_documents`` reads them.
+
+    For lines that another step makes and that are read once, so that they
+    need not be stored in between. A NULL, empty or malformed line gives a row
+    of NULLs.
+    """
+    # With its mode named the parser is kept even where the plan itself makes the lines.
+    document = F.from_json("value", WIRE_SCHEMA, {"mode": "PERMISSIVE"})
+    return lines.select(document.alias("document")).select("document.*")
