@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -23,27 +25,39 @@ def _with_month(df: DataFrame, day: str) -> DataFrame:
     return df.withColumn(MONTH_COLUMN, month_key(F.col(day)).cast("int"))
 
 
-def _write(df: DataFrame, path: str, mode: str) -> None:
+def _together(df: DataFrame) -> DataFrame:
     # Rows of a month come together, so a task does not write a file for every
     # month; adaptive execution then cuts a hot month into pieces of its
     # advisory size and merges small ones.
-    writer = df.hint("rebalance", MONTH_COLUMN).write.mode("overwrite").partitionBy(MONTH_COLUMN)
+    return df.hint("rebalance", MONTH_COLUMN)
+
+
+def _write(df: DataFrame, path: str, mode: str) -> None:
+    writer = df.write.mode("overwrite").partitionBy(MONTH_COLUMN)
     writer.options(
         maxRecordsPerFile=MAX_RECORDS_PER_FILE, partitionOverwriteMode=mode, compression=LAYER_CODEC
     ).parquet(path)
 
 
-def write_months(df: DataFrame, path: str, day: str = "sale_day") -> DataFrame:
+def write_months(
+    df: DataFrame, path: str, day: str = "sale_day", last: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """Replace the layer at ``path`` by the rows of ``df`` in months, and return it, read back.
 
     ``day`` names a date column. The layer has ``sale_month`` as its last
     column, NULL where the day is; a condition on it picks directories before
     any file is opened. The rows are shuffled once, by month. A month that
     holds most rows is written by several tasks into several files.
+
+    ``last`` is applied to the rows, with ``sale_month``, after their shuffle.
+    It is for what makes rows longer and looks at one row alone, such as
+    digests of identity numbers: the shuffle files are smaller then. They hold
+    what ``last`` replaces; ``spark.io.encryption.enabled`` encrypts them.
     """
-    keyed = _with_month(df, day)
-    _write(keyed, path, "static")
-    return read_months(df.sparkSession, path, keyed.schema)
+    rows = _together(_with_month(df, day))
+    rows = last(rows) if last else rows
+    _write(rows, path, "static")
+    return read_months(df.sparkSession, path, rows.schema)
 
 
 def read_months(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -70,4 +84,4 @@ def replace_month(df: DataFrame, path: str, month: int | None, day: str = "sale_
     if rows.isEmpty():
         Store(df.sparkSession, path).delete(month_directory(path, month))
     else:
-        _write(rows, path, "dynamic")
+        _write(_together(rows), path, "dynamic")

@@ -5,7 +5,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from claimstrata import operators as ops
+from claimstrata import plans
 from claimstrata.registry import queries
+from claimstrata.sinks import read_months, write_months
 from claimstrata.sources import parse_documents, read_documents
 
 ITEM = (
@@ -89,3 +92,33 @@ def test_counts_store_documents_alone(spark, sf_dir, name):
     with pytest.MonkeyPatch.context() as patch:
         patch.setattr(queries, "claim_rows", queries.bronze_layer)
         assert found == rows_of(queries.QUERIES[name](spark, sf_dir))
+
+
+def test_months_are_laid_out_without_other_layers(spark, sf_dir):
+    found = rows_of(queries.month_pruned(spark, sf_dir))
+    assert stored_names() == ["documents_by_month"]
+    rows = plans.bronze(queries.documents_layer(spark, sf_dir), "sale_day")
+    assert found == rows_of(ops.monthly_slice(rows, queries.YEAR, queries.MONTH, F.col("sale_day")))
+    docs, months = queries.documents_layer(spark, sf_dir), queries._by_month(spark, sf_dir)
+    assert months.columns == [*docs.columns, "sale_month"]
+    assert rows_of(months.drop("sale_month")) == rows_of(docs)
+
+
+def test_month_replaced_stores_months_alone(spark, sf_dir):
+    assert len(queries.month_replaced(spark, sf_dir).collect()) == 4
+    assert stored_names() == []
+
+
+def test_last_step_of_a_month_layout_follows_the_shuffle(spark, tmp_path):
+    rows = spark.range(300).withColumn("sale_day", F.expr("add_months(date'2023-01-05', int(id % 3))"))
+    seen = []
+
+    def last(moved):
+        seen.append(moved._jdf.queryExecution().analyzed().toString())
+        return moved.select(F.sha2(F.col("id").cast("string"), 256).alias("digest"), "sale_day", "sale_month")
+
+    layer = write_months(rows, f"{tmp_path}/months", last=last)
+    assert len(seen) == 1 and "RebalancePartitions" in seen[0].split("\n")[0]
+    expected = [F.sha2(F.col("id").cast("string"), 256).alias("digest"), "sale_day", F.expr("202301 + int(id % 3) AS sale_month")]
+    assert rows_of(layer) == rows_of(rows.select(*expected))
+    assert rows_of(read_months(spark, f"{tmp_path}/months", layer.schema)) == rows_of(layer)
