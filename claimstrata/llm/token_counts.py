@@ -24,6 +24,21 @@ from claimstrata.llm.texts import appended, portions
 
 CACHE_PIECES = 400_000
 _NO_RANK = np.int64(1 << 62)
+# Letters and numbers assigned after Unicode 16, the version of the library's classes.
+_LATER = """
+    558 58b-58c 88f c5c cdc 208f 209d-209f a7ce-a7cf a7d2 a7d4 a7dd a7e2 a7f1 ab6c-ab6d 107bb-107bf
+    10940-10959 10ec5-10ec7 10ed9-10eee 11b0a 11db0-11ddb 11de0-11de9 11df1 1246f 12475-1247f
+    12550-12686 16ea0-16eb8 16ebb-16ed3 16ff2-16ff6 187f8-187ff 18cd6-18cda 18d09-18d20 18d80-18df2
+    18e00-19191 191a0-191d2 1b123-1b128 1b168 1d6a6 1df1f-1df24 1df2b-1df81 1df90-1df96 1dfcd-1dfff
+    1e6c0-1e6de 1e6e0-1e6e2 1e6e4-1e6e5 1e6e7-1e6ed 1e6f0-1e6f4 1e6fe-1e6ff 2b73a-2b73f 2b81e
+    2cea2-2cead 323b0-33479 3d000-3fc3f
+"""
+# Lower-case letters that the library's tables have and older ones of Python do not.
+_LOWER = {
+    0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B,
+    **{upper: upper + 32 for upper in range(0x10D50, 0x10D66)},
+    **{upper: upper + 27 for upper in range(0x16EA0, 0x16EB9)},
+}
 
 
 def byte_symbols() -> list[str]:
@@ -37,6 +52,11 @@ def byte_symbols() -> list[str]:
     return [chr(v) if v in set(plain) else chr(256 + other.index(v)) for v in range(256)]
 
 
+def later_characters() -> str:
+    """A set for a pattern with the characters of ``_LATER``."""
+    return "[" + "".join("-".join(chr(int(x, 16)) for x in part.split("-")) for part in _LATER.split()) + "]"
+
+
 class Merger:
     """The merges of one vocabulary file, and a cache of counted pieces."""
 
@@ -51,7 +71,14 @@ class Merger:
         self.special = [token["content"] for token in parts["added_tokens"]]
         self.cut = regex.compile("|".join(regex.escape(x) for x in sorted(self.special, key=len, reverse=True)))
         split = next(x for x in parts["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
-        self.pattern = regex.compile(split["pattern"]["Regex"])
+        words = split["pattern"]["Regex"]
+        self.pattern = regex.compile(words)
+        # ``regex`` may know more letters and numbers than the library does.
+        later = later_characters()
+        self.newer = regex.compile(f"[{later}{''.join(map(chr, _LOWER))}]", regex.V1)
+        for known in (r"\p{L}", r"\p{N}"):
+            words = words.replace(known, f"[{known}--{later}]")
+        self.older = regex.compile(words, regex.V1)
         pairs = np.array([vocabulary[a] * int(self.size) + vocabulary[b] for a, b in merges], np.int64)
         made = np.array([vocabulary[a + b] for a, b in merges], np.int64)
         # Of a pair listed twice the later rank holds, as in the library.
@@ -74,9 +101,12 @@ class Merger:
             parts = self.cut.split(text)
         found: list[bytes] = []
         for part in parts:
+            pattern = self.pattern
             if not part.isascii():
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
-            found += [x.encode("utf-8") for x in self.pattern.findall(part.lower())]
+                if self.newer.search(part):
+                    part, pattern = part.translate(_LOWER), self.older
+            found += [x.encode("utf-8") for x in pattern.findall(part.lower())]
         return found, special
 
     def rank(self, keys: np.ndarray) -> np.ndarray:
