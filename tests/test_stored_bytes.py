@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from claimstrata import operators as ops
 from claimstrata import plans
 from claimstrata.registry import queries
-from claimstrata.sinks import read_months, write_months
+from claimstrata.sinks import month_key, read_months, write_months
 from claimstrata.sources import parse_documents, read_documents
 
 ITEM = (
@@ -109,6 +109,15 @@ def test_month_replaced_stores_months_alone(spark, sf_dir):
     assert stored_names() == []
 
 
+def test_month_replaced_has_all_rows_and_one_month_twice(spark, sf_dir):
+    found = rows_of(queries.month_replaced(spark, sf_dir))
+    docs = queries.documents_layer(spark, sf_dir)
+    mine = month_key(F.col("sale_day")) == 100 * queries.YEAR + queries.MONTH
+    amount = F.when(mine, 2 * F.col("revenue_amt")).otherwise(F.col("revenue_amt"))
+    rows = plans.bronze(docs.withColumn("revenue_amt", amount), "sale_day")
+    assert found == rows_of(ops.monthly_revenue(rows, F.col("sale_day")))
+
+
 def test_last_step_of_a_month_layout_follows_the_shuffle(spark, tmp_path):
     rows = spark.range(300).withColumn("sale_day", F.expr("add_months(date'2023-01-05', int(id % 3))"))
     seen = []
