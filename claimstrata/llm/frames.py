@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from claimstrata.session import shuffle_partitions
 from claimstrata.sinks.lineage import new_folder
 
-__all__ = ["components", "new_folder", "renamed", "shuffle_partitions", "stored", "with_package"]
+__all__ = ["components", "dealt", "new_folder", "renamed", "shuffle_partitions", "stored", "with_package"]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -20,6 +20,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """The frame as a side of a join that shuffles both sides and broadcasts neither.
+
+    For tables that grow with the input. Spark broadcasts by the size of files,
+    and packed columns of numbers are ten times as large and more in a
+    driver's memory, which then holds every such table of a plan at once.
+    """
+    return df.hint("merge")
+
+
 def renamed(docs: DataFrame, *own: str) -> tuple[DataFrame, dict[str, str]]:
     """The frame with all columns but ``own`` under made names, and the made name of each column.
 
@@ -53,7 +63,8 @@ def components(edges: DataFrame) -> DataFrame:
     logarithm of the longest path. Smallest neighbours come from a grouping
     with partial results, and a node of very many edges is split by adaptive
     execution, as it meets one row of the other side. Edges of each round are
-    stored; the driver sees their number and a checksum. No edges, no rows.
+    stored and shuffled, never broadcast; the driver sees their number and a
+    checksum. No edges, no rows.
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     edges = stored(edges.distinct(), "edges")
@@ -66,10 +77,10 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.min("v").alias("m"))
         lowest = lowest.select("u", F.least("u", "m").alias("m"))
-        upper = edges.select(F.col("v").alias("u"), F.col("u").alias("w")).join(lowest, "u")
+        upper = edges.select(F.col("v").alias("u"), F.col("u").alias("w")).join(dealt(lowest), "u")
         large = upper.select(F.col("w").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        lower = large.join(lowest, "u")
+        lower = large.join(dealt(lowest), "u")
         small = lower.select(
             F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
         ).select("e.*")

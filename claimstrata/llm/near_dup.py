@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimstrata.llm.frames import components, renamed, shuffle_partitions, stored, with_package
+from claimstrata.llm.frames import components, dealt, renamed, shuffle_partitions, stored, with_package
 from claimstrata.llm.texts import SPACED, byte_view, mix, names, portions, word_spans
 
 COLLECTION = 8
@@ -307,7 +307,8 @@ def near_duplicates(docs: DataFrame, size: int = 2) -> DataFrame:
     by a search that stops when all are connected. So no task holds more than
     two blocks, no candidate is left out, and no group's pairs are stored. The
     work of a family grows with the square of its blocks unless they connect.
-    Intermediate tables go to the shared folder.
+    Intermediate tables go to the shared folder; joins shuffle them, so that
+    the driver holds none of them.
     """
     spark = with_package(docs.sparkSession)
     parts = shuffle_partitions(spark)
@@ -338,27 +339,27 @@ def near_duplicates(docs: DataFrame, size: int = 2) -> DataFrame:
     side = classes.select("cid", "n", "sketch")
     pairs = found.where("NOT family").select("a", "b").distinct()
     for end in ("a", "b"):
-        pairs = pairs.join(side.toDF(end, f"n_{end}", f"sketch_{end}"), end)
+        pairs = pairs.join(dealt(side.toDF(end, f"n_{end}", f"sketch_{end}")), end)
     pairs = stored(pairs.mapInArrow(_alike, "a long, b long"), "pairs")
 
     families = components(found.where("family").select("a", "b"))
     families = stored(families, "families")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("cid")).unionByName(families.select(F.col("node").alias("cid")))
-    needed = needed.distinct().join(classes.select("cid", "sample.doc_id", "sample.h1", "sample.h2"), "cid")
+    needed = needed.distinct().join(dealt(classes.select("cid", "sample.doc_id", "sample.h1", "sample.h2")), "cid")
     match = (
         source["doc_id"].eqNullSafe(needed["doc_id"])
         & (source["h1"] == needed["h1"])
         & (source["h2"] == needed["h2"])
     )
-    texts = source.join(needed, match).select(needed["cid"], source["text"]).dropDuplicates(["cid"])
+    texts = source.join(dealt(needed), match).select(needed["cid"], source["text"]).dropDuplicates(["cid"])
     texts = stored(texts, "texts")
 
     for end in ("a", "b"):
-        pairs = pairs.join(texts.toDF(end, f"text_{end}"), end)
+        pairs = pairs.join(dealt(texts.toDF(end, f"text_{end}")), end)
     links = pairs.mapInArrow(_verify(size), "a long, b long")
 
     sizes = families.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    members = families.join(sizes, "label")
+    members = families.join(dealt(sizes), "label")
     members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     members = members.select(
@@ -367,19 +368,19 @@ def near_duplicates(docs: DataFrame, size: int = 2) -> DataFrame:
         F.least("block", "other").alias("low"),
         F.greatest("block", "other").alias("high"),
     )
-    groups = members.join(texts, "cid").groupBy("label", "low", "high")
+    groups = members.join(dealt(texts), "cid").groupBy("label", "low", "high")
     links = links.unionByName(groups.applyInArrow(_connect(size), "a long, b long"))
 
     labels = components(links)
-    named = classes.select("cid", "id", "name").join(labels, F.col("cid") == F.col("node"))
+    named = classes.select("cid", "id", "name").join(dealt(labels), F.col("cid") == F.col("node"))
     best = named.groupBy("label").agg(F.min("id").alias("component_id"))
-    linked = named.join(best, "label").select("name", "component_id", "label")
+    linked = named.join(dealt(best), "label").select("name", "component_id", "label")
     alone = classes.select("name", "id", "cid")
-    chosen = alone.join(linked, "name", "left").select(
+    chosen = alone.join(dealt(linked), "name", "left").select(
         "name", F.coalesce("component_id", "id").alias("component_id"), F.coalesce("label", "cid").alias("group")
     )
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    result = signed.join(chosen, "name", "left").withColumn("component_id", own)
+    result = signed.join(dealt(chosen), "name", "left").withColumn("component_id", own)
     return result.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
@@ -406,5 +407,5 @@ def keep_one(docs: DataFrame, size: int = 5) -> DataFrame:
     rows, made = renamed(docs, "doc_id", "text")
     rows = rows.withColumns({"_t1": F.xxhash64("text"), "_t2": F.xxhash64(F.lit(7), "text")})
     match = rows["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_t1") == F.col("_h1")) & (F.col("_t2") == F.col("_h2"))
-    kept = rows.join(found, match, "left_semi").dropDuplicates(["doc_id", "_t1", "_t2"])
+    kept = rows.join(dealt(found), match, "left_semi").dropDuplicates(["doc_id", "_t1", "_t2"])
     return kept.select(*(F.col(inner).alias(name) for name, inner in made.items()))

@@ -1,0 +1,36 @@
+"""No join of near-duplicates sends a table that grows with the documents by way of the driver."""
+
+import pytest
+
+from claimstrata.llm import frames, near_dup
+
+
+@pytest.fixture
+def docs(spark):
+    """Exact and near copies, a group too large for pairs, texts of their own and without words."""
+    long = [" ".join(f"w{i}" for i in range(200))]
+    rows = [(i, f"{long[0]} end{i}") for i in range(40)]
+    rows += [(100 + i, f"text number {i // 2} of many " * (3 + i // 2)) for i in range(20)]
+    rows += [(200, None), (None, "text of no id"), (201, "")]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+@pytest.mark.parametrize("operator", [near_dup.near_duplicates, near_dup.keep_one])
+def test_nothing_is_broadcast(docs, operator, monkeypatch):
+    plans = []
+
+    def seen(df, name, stored=frames.stored):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(frames, "stored", seen)
+    monkeypatch.setattr(near_dup, "stored", seen)
+    found = operator(docs)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert sum("Join" in text for text in plans) > 4
+    assert not any("Broadcast" in text for text in plans)
+    rows = found.collect()
+    if operator is near_dup.keep_one:
+        assert sorted(str(r.doc_id) for r in rows if r.doc_id is None or r.doc_id < 100 or r.doc_id >= 200) == ["0", "200", "201", "None"]
+    else:
+        assert len(rows) == 63 and {r.component_id for r in rows if r.doc_id is not None and r.doc_id < 100} == {0}
