@@ -1,0 +1,84 @@
+"""Rows are shorter in a shuffle and the same after it."""
+
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from claimstrata import operators as ops
+from claimstrata.operators.narrow import long_digests, narrowed, short_digests, widened
+from claimstrata.sinks import write_layer
+
+HEX = hashlib.sha256(b"x").hexdigest()
+TEXTS = [
+    None, "", "0", "ab", "a" * 31, "a" * 32, "é" * 16, "é" * 32, HEX, HEX.upper(), HEX[:-1], HEX + "0", HEX[:32], "g" * 64, "0" * 64, "a" * 32 + "\0", "é" * 64,
+]
+ROW = "pan_number_encrypted string, aadhaar_number_encrypted string, `a.b` int, x int, y int, z long, numbers string"
+
+
+def rows_of(df):
+    return sorted(map(repr, df.collect()))
+
+
+@pytest.fixture
+def odd(spark):
+    n = len(TEXTS)
+    rows = [(t, TEXTS[(i * 5) % n], i % 3 or None, 2**31 - 1 - i % 2, None, i % 2 or None, t) for i, t in enumerate(TEXTS)]
+    return spark.createDataFrame([*rows, *rows, (None,) * 7, (None,) * 7], ROW).repartition(5)
+
+
+def test_any_text_comes_back_and_none_meet(spark, odd):
+    assert rows_of(long_digests(short_digests(odd), odd)) == rows_of(odd)
+    assert short_digests(odd).select("pan_number_encrypted").distinct().count() == len(TEXTS)
+    size = short_digests(odd).where(F.col("numbers") == HEX).select(F.length("pan_number_encrypted")).first()[0]
+    assert size == 32
+
+
+def test_numbers_come_back(odd):
+    back = widened(narrowed(odd), odd)
+    assert back.dtypes == odd.dtypes and rows_of(back) == rows_of(odd)
+    assert len(narrowed(odd).columns) == len(odd.columns) - 2
+
+
+def test_distinct_rows_are_those_of_whole_rows(spark, odd):
+    assert rows_of(ops.drop_copies(odd)) == rows_of(odd.dropDuplicates())
+    twice = odd.select("x", "y", F.col("z").alias("y"))
+    assert ops.drop_copies(twice).count() == twice.dropDuplicates().count()
+    other = odd.select(F.col("x").alias("pan_number_encrypted"), F.encode("numbers", "UTF-8").alias("aadhaar_number_encrypted"))
+    assert rows_of(ops.drop_copies(other)) == rows_of(other.dropDuplicates())
+
+
+def shuffled_bytes(df):
+    df.collect()
+    total, stack = 0, [df._jdf.queryExecution().executedPlan().executedPlan()]
+    while stack:
+        node = stack.pop()
+        if node.getClass().getSimpleName() == "ShuffleExchangeExec":
+            total += node.metrics().apply("shuffleBytesWritten").value()
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            stack.append(node.plan())
+        children = node.children()
+        stack += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+@pytest.fixture
+def masked(spark, tmp_path):
+    digests = [F.sha2(F.concat_ws("-", F.lit(n), "id"), 256).alias(n) for n in ("pan_number_encrypted", "aadhaar_number_encrypted")]
+    numbers = [(F.col("id") * k % 100_003).cast("int").alias(f"n{k}") for k in range(3, 12)]
+    rows = spark.range(20_000, numPartitions=4).select(F.concat(F.lit("P"), F.col("id") % 9000).alias("policy_id"), *digests, *numbers)
+    return write_layer(rows.withColumn("claim_amount", F.col("n3")), f"{tmp_path}/rows")
+
+
+def test_distinct_rows_shuffle_less(masked):
+    plain, found = masked.dropDuplicates(), ops.drop_copies(masked)
+    assert shuffled_bytes(found) < 0.75 * shuffled_bytes(plain)
+    assert rows_of(found) == rows_of(plain)
+
+
+def test_policy_join_shuffles_digests_as_bytes(masked, settings, tmp_path):
+    metrics = write_layer(ops.policy_metrics(masked), f"{tmp_path}/metrics")
+    with settings({"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plain, found = masked.join(metrics, "policy_id", "left"), ops.attach_policy_metrics(masked, metrics)
+        assert shuffled_bytes(found) < 0.8 * shuffled_bytes(plain)
+        assert found.dtypes == plain.dtypes and rows_of(found) == rows_of(plain)
