@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from claimstrata.sinks.files import LAYER_CODEC, MAX_RECORDS_PER_FILE
+from claimstrata.sinks.files import LAYER_OPTIONS
 from claimstrata.sinks.storage import Store
 
 MONTH_COLUMN = "sale_month"
@@ -34,9 +34,7 @@ def _together(df: DataFrame) -> DataFrame:
 
 def _write(df: DataFrame, path: str, mode: str) -> None:
     writer = df.write.mode("overwrite").partitionBy(MONTH_COLUMN)
-    writer.options(
-        maxRecordsPerFile=MAX_RECORDS_PER_FILE, partitionOverwriteMode=mode, compression=LAYER_CODEC
-    ).parquet(path)
+    writer.options(**LAYER_OPTIONS, partitionOverwriteMode=mode).parquet(path)
 
 
 def write_months(
